@@ -14,7 +14,7 @@ def _n(text):
 def test_prose_in_pages_docstrings_and_comments():
     n = len(SENT.split())
     assert _n(SENT + ".") == n
-    assert _n("// " + SENT[:40] + "\n// " + SENT[40:] + ".\nint x = f(3);\n") == n
+    assert _n("// " + SENT[:35] + "\n// " + SENT[36:] + ".\nint x = f(3);\n") == n
     assert _n('"""' + SENT + '.\n"""\nimport os\nimport sys\n') == n
     assert _n("/**\r\n * " + SENT + ".\r\n */\r\npackage core\r\n") == n
     assert _n("<html><head><style>p{margin:8px}</style></head><body><h1>a-b</h1>\n<p>" + SENT + ".</p></body></html>") == n

@@ -56,7 +56,7 @@ def _runs(text: str) -> list[list[str]]:
         if s[0].isdigit() and (m := _ITEM.match(s)):
             s = s[m.end() :]
         good = (s[:1].isalpha() or para) and plain(s)
-        if good and not (_CODEY.search(s) or _LONG.search(s) or (len(s) < 60 and _STATEMENT.match(s))):
+        if good and not (_LONG.search(s) or _CODEY.search(s) or (len(s) < 60 and _STATEMENT.match(s))):
             if line[:1] == "#" and para and line[:2] == "##":
                 run.append(" ".join(para))
                 para = []

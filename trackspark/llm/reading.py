@@ -52,12 +52,11 @@ def features(words: list[str], grades: dict[str, float]) -> list[float] | None:
     return [known[min(int(q * n), n - 1)] for q in QUANTILES] + [sum(known) / n]
 
 
-def word_grades(docs: list[tuple[list[float], set[str]]] | DataFrame, least_docs: int | None = None) -> dict[str, float]:
-    """Acquisition grade of each word from (band votes, words) of graded documents.
+def word_grades(d: DataFrame, least_docs: int | None = None) -> dict[str, float]:
+    """Acquisition grade of each word from graded documents (grade: votes by band, words).
 
     Rates are per band, so that a band with many texts pulls no word towards it.
     """
-    d = docs
     size = d.agg(*[F.sum(F.col("grade")[b]).alias(f"n{b}") for b in range(len(BANDS))], F.count(F.lit(1)).alias("n")).first()
     least = least_docs or (2 if (size["n"] or 0) < 300 else 3)
     per = d.select("grade", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("grade")[b]).alias(f"c{b}") for b in range(len(BANDS))])
