@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackspark.session import durable
+
 BUCKETS = 4096
 PASSES = 3
 
@@ -59,7 +61,7 @@ def _draw(ranked: DataFrame) -> DataFrame:
     sums = sums.select("source", "bucket", (F.sum("bm").over(Window.partitionBy("source").orderBy("bucket")) - F.col("bm")).alias("base"))
     inside = F.sum("m").over(Window.partitionBy("source", "bucket").orderBy("q", "id", "n").rowsBetween(Window.unboundedPreceding, 0))
     new = ranked.withColumn("upto", inside).join(F.broadcast(sums), ["source", "bucket"])  # at most BUCKETS rows per target
-    new = new.withColumn("new", (F.col("m") > 0) & (F.col("base") + F.col("upto") <= F.col("rest")))
+    new = durable(new.withColumn("new", (F.col("m") > 0) & (F.col("base") + F.col("upto") <= F.col("rest"))))
     used = new.groupBy("source").agg(F.sum(F.when(F.col("new"), F.col("n")).otherwise(F.lit(0))).alias("used"))
     new = new.join(F.broadcast(used), "source")  # a row per target
     return new.select(*[c for c in ranked.columns if c not in ("hit", "rest", "m")], (F.col("hit") | F.col("new")).alias("hit"), (F.col("rest") - F.col("used")).alias("rest"))
