@@ -1,0 +1,79 @@
+"""Time expressions: units, clock strings, guesses by magnitude, clock alignment.
+
+All give seconds as DOUBLE; what is no number or empty gives null, an unknown unit raises.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Units in a second.
+PER_SECOND = {"s": 1.0, "ms": 1e3, "us": 1e6, "ns": 1e9, "ticks_100ns": 1e7}
+
+
+def _num(c: Column) -> Column:
+    return F.trim(c.cast("string")).try_cast("double")
+
+
+def hms(c: Column) -> Column:
+    """HH:MM:SS.mmm, MM:SS.mmm or SS.mmm."""
+    parts = F.reverse(F.transform(F.split(F.trim(c), ":"), lambda x: F.trim(x).try_cast("double")))
+    ok = (F.size(parts) <= 3) & ~F.exists(parts, lambda x: x.isNull())
+    total = F.coalesce(F.get(parts, F.lit(0)), F.lit(0.0)) + F.coalesce(F.get(parts, F.lit(1)), F.lit(0.0)) * 60 + F.coalesce(F.get(parts, F.lit(2)), F.lit(0.0)) * 3600
+    return F.when(ok, total)
+
+
+def timecode(c: Column, fps: float) -> Column:
+    """HH:MM:SS:FF at a frame rate."""
+    parts = F.transform(F.split(F.trim(c), ":"), lambda x: F.trim(x).try_cast("double"))
+    ok = (F.size(parts) == 4) & ~F.exists(parts, lambda x: x.isNull())
+    p = lambda i: F.get(parts, F.lit(i))
+    return F.when(ok, p(0) * 3600 + p(1) * 60 + p(2) + p(3) / F.lit(fps))
+
+
+def to_seconds(c: Column, unit: str, fps: float | None = None) -> Column:
+    if unit in PER_SECOND:
+        return _num(c) / F.lit(PER_SECOND[unit])
+    if unit == "frame":
+        if not fps:
+            raise ValueError("frames need a frame rate")
+        return _num(c) / F.lit(float(fps))
+    if unit == "hms":
+        return hms(c.cast("string"))
+    if unit == "timecode":
+        if not fps:
+            raise ValueError("a timecode needs a frame rate")
+        return timecode(c.cast("string"), float(fps))
+    raise ValueError(f"unknown time unit {unit!r}")
+
+
+def guess_seconds(c: Column, name: str) -> Column:
+    """Seconds guessed from a column's name and each value's magnitude."""
+    v = _num(c)
+    if name.endswith("_ns"):
+        return v / 1e9
+    if name.endswith("_ms"):
+        return v / 1e3
+    return F.when(F.abs(v) > 1e12, v / 1e9).when(F.abs(v) > 1e6, v / 1e3).otherwise(v)
+
+
+def align(t: Column, transform: str, first: Column | None = None, clip_start: Column | None = None, const: float = 0.0, fps: float | None = None) -> Column:
+    """A raw time on the video's clock; a missing anchor gives null."""
+    if transform == "as_is":
+        return t
+    if transform == "subtract_first":
+        return t - first
+    if transform == "subtract_clip_start":
+        return t - clip_start
+    if transform == "subtract_const":
+        return t - F.lit(const)
+    if transform == "frame_index_over_fps":
+        return t / F.lit(float(fps))
+    raise ValueError(f"unknown clock transform {transform!r}")
+
+
+def frame_rate(c: Column) -> Column:
+    """A rate written as a number or as a fraction n/d; a zero denominator gives null."""
+    n, d = F.split_part(c, F.lit("/"), F.lit(1)), F.split_part(c, F.lit("/"), F.lit(2))
+    return F.when(c.contains("/"), F.try_divide(_num(n), _num(d))).otherwise(_num(c))

@@ -36,7 +36,7 @@ def prefix_scan(df: DataFrame, keys: list[str], pos: str, value: str, out: str,
     """Add ``out``: the running ``how`` of ``value`` over all rows strictly before this one.
 
     ``df`` has one row per (keys, pos). ``how`` is "last" (the nearest earlier non-null value) or
-    "max". ``reverse`` scans from the end. No earlier row, or only null values: null.
+    "max" or "sum". ``reverse`` scans from the end. No earlier row, or only null values: null.
     """
     block = F.floor(F.col(pos) / F.lit(fan)).cast("long")
     if how == "last":
@@ -45,6 +45,9 @@ def prefix_scan(df: DataFrame, keys: list[str], pos: str, value: str, out: str,
     elif how == "max":
         fold = F.max
         total = F.max(value)
+    elif how == "sum":
+        fold = F.sum
+        total = F.sum(value)
     else:
         raise ValueError(f"unknown scan {how!r}")
     side = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
@@ -55,5 +58,5 @@ def prefix_scan(df: DataFrame, keys: list[str], pos: str, value: str, out: str,
     wb = Window.partitionBy(*keys).orderBy(side("__block")).rowsBetween(*before)
     blocks = df.withColumn("__block", block).groupBy(*keys, "__block").agg(total.alias("__total")).withColumn("__far", fold(F.col("__total")).over(wb)).drop("__total")
     joined = join_null_safe(inner, blocks, [*keys, "__block"])
-    got = F.coalesce("__in", "__far") if how == "last" else F.greatest("__in", "__far")
+    got = {"last": F.coalesce("__in", "__far"), "max": F.greatest("__in", "__far"), "sum": F.coalesce(F.col("__in") + F.col("__far"), "__in", "__far")}[how]
     return joined.withColumn(out, got).drop("__block", "__in", "__far")
