@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trackspark.functions.text import numbered
 from trackspark.operators.intervals import overlaps
 from trackspark.operators.sharded import lag_over, last_over
+from trackspark.session import durable
 
 
 def hard_cut(df: DataFrame, s: str, e: str, longest: int, shortest: int) -> DataFrame:
@@ -28,7 +29,8 @@ def descend(spans: DataFrame, order: list[str], keys: list[str], longest: int, s
 
     ``order`` names the channels from coarse to fine. A span that fits is a clip; one too long is
     replaced by what the finer channels have inside it, clipped to it; one without finer cover is
-    cut hard. Only spans of the coarsest channel start a descent. One range join per level.
+    cut hard. Only spans of the coarsest channel start a descent. One range join per level, whose
+    result is checkpointed: each level is read three times.
     """
     lower = F.lit(0).cast("long")
     live = spans.filter(F.col("channel") == order[0]).select(*keys, "channel", F.greatest("s", lower).alias("s"), "e", "text", F.array(F.col("ord")).alias("path"))
@@ -44,13 +46,13 @@ def descend(spans: DataFrame, order: list[str], keys: list[str], longest: int, s
         finer = spans.filter(F.col("channel") == order[depth + 1]).select(*keys, F.col("s").alias("b_s"), F.col("e").alias("b_e"), F.col("text").alias("b_text"), F.col("ord").alias("b_ord"))
         inside = overlaps(long.select(*keys, F.col("s").alias("a_s"), F.col("e").alias("a_e"), "path"), finer, keys, width)
         live = inside.select(*keys, F.lit(order[depth + 1]).alias("channel"), F.greatest("a_s", "b_s").alias("s"), F.least("a_e", "b_e").alias("e"), F.col("b_text").alias("text"), F.array_append("path", F.col("b_ord")).alias("path"))
-        live = live.filter(F.col("e") - F.col("s") >= shortest)
+        live = durable(live.filter(F.col("e") - F.col("s") >= shortest))
     # from the finest level up: a long span without clips below it is cut hard
     clips = done[-1].unionByName(hard_cut(waiting[-1][1], "s", "e", longest, shortest))
     for depth, long in reversed(waiting[:-1]):
         covered = clips.select(*keys, F.slice("path", 1, depth + 1).alias("path")).distinct()
         bare = long.join(covered, [*keys, "path"], "left_anti")
-        clips = clips.unionByName(done[depth]).unionByName(hard_cut(bare, "s", "e", longest, shortest))
+        clips = durable(clips.unionByName(done[depth]).unionByName(hard_cut(bare, "s", "e", longest, shortest)))
     return clips
 
 
