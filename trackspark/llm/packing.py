@@ -23,6 +23,8 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackspark.session import durable
+
 #: Items of a cell; bounds what one task holds.
 CELL = 2048
 ISLANDS = 2
@@ -174,10 +176,11 @@ def pack(items: DataFrame, specs: DataFrame) -> DataFrame:
 
     ``items`` is (item_id, n), ``specs`` (spec_id, capacity), a small table.
     """
-    from trackspark.session import durable
-
-    specs = specs.filter("capacity > 0")
-    sized = items.filter("n > 0").join(F.broadcast(specs), how="inner", on=F.lit(True))
+    some = [(r.spec_id, r.capacity) for r in specs.filter("capacity > 0").select("spec_id", "capacity").distinct().collect()]  # a handful
+    if not some:
+        return items.sparkSession.createDataFrame([], "spec_id long, container_id string, item_id long, piece_no long, n_tokens long")
+    each = F.array(*[F.struct(F.lit(s).cast("long").alias("spec_id"), F.lit(c).cast("long").alias("capacity")) for s, c in some])
+    sized = items.filter("n > 0").select("item_id", F.col("n").cast("long").alias("n"), F.inline(each))
     whole = F.floor(F.col("n") / F.col("capacity")).cast("long")
     cut = sized.filter("n >= capacity").select("spec_id", "capacity", "item_id", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("piece_no"))
     full = cut.select("spec_id", F.concat_ws("-", F.lit("full"), "item_id", "piece_no").alias("container_id"), "item_id", "piece_no", F.col("capacity").alias("n_tokens"))

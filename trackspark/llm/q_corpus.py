@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackspark.llm.mixing import mix
@@ -48,8 +48,7 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     rows = [(s, t, k, *found[s]) for s, t, k in targets]
     base = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, available_tokens long, wanted_tokens double")
     got = drawn.groupBy("source").agg(F.sum(F.col("n") * F.col("copies")).alias("drawn_tokens"), F.max("copies").alias("most_copies"))
-    total = got.agg(F.sum("drawn_tokens").alias("total"))
-    out = base.join(got, "source", "left").join(F.broadcast(total), how="left", on=F.lit(True))  # one row
+    out = base.join(got, "source", "left").withColumn("total", F.sum("drawn_tokens").over(Window.partitionBy(F.lit(0))))  # a row per target
     n = F.coalesce("drawn_tokens", F.lit(0))
     return out.select("source", "target_share", F.round(n / F.col("total"), 6).alias("share"), "max_repeats", F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "available_tokens", F.round("wanted_tokens").cast("long").alias("wanted_tokens"), n.alias("drawn_tokens"))
 
