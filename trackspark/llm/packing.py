@@ -60,6 +60,47 @@ def fitness(room: list[int], cap: int) -> tuple[int, float]:
     return len(room), -sum((cap - r) * (cap - r) for r in room) / (cap * cap)
 
 
+def lower_bound(sizes: list[int], cap: int) -> int:
+    """Bins that any packing needs: for each size k, large items share none, and those of k and more
+    have to fit beside the middle ones (the bound L2 of the literature)."""
+    import numpy as np
+
+    if not sizes:
+        return 0
+    a = np.sort(np.asarray(sizes, dtype=np.int64))
+    total = np.append(0, np.cumsum(a))
+    n = len(a)
+    half = np.searchsorted(a, cap / 2, side="right")
+    k = np.append(0, np.unique(a[:half]))
+    big = np.searchsorted(a, cap - k, side="right")  # from here on: larger than cap - k
+    low = np.searchsorted(a, k, side="left")
+    middle = big - half
+    spare = middle * cap - (total[big] - total[half])
+    more = np.maximum(0, -((spare - (total[half] - total[low])) // cap))
+    return int((n - big + middle + more).max())
+
+
+def _improve(bins: Bins, room: list[int], lost: list[int], sizes: list[int]) -> list[int]:
+    """Swap items of unfilled bins for larger displaced ones that fit; what is displaced now."""
+    spare = sorted((sizes[i], i) for i in lost)
+    for b, bin_ in enumerate(bins):
+        r = room[b]
+        if not r or not spare:
+            continue
+        for at, i in enumerate(bin_):
+            n = sizes[i]
+            k = bisect_left(spare, (n + r + 1, -1)) - 1
+            if k >= 0 and spare[k][0] > n:
+                m, j = spare.pop(k)
+                bin_[at] = j
+                r -= m - n
+                insort(spare, (n, i))
+                if not r:
+                    break
+        room[b] = r
+    return [i for _, i in spare]
+
+
 def crossover(a: Bins, a_room: list[int], b: Bins, b_room: list[int], sizes: list[int], cap: int, rnd: random.Random) -> tuple[Bins, list[int]]:
     """A child: well-filled bins of ``a`` injected into ``b``."""
     full = sorted(range(len(a)), key=lambda k: a_room[k])
@@ -86,6 +127,7 @@ def crossover(a: Bins, a_room: list[int], b: Bins, b_room: list[int], sizes: lis
             bins[k], room[k] = bins[-1], room[-1]
             bins.pop()
             room.pop()
+    lost = _improve(bins, room, lost, sizes)
     lost.sort(key=lambda i: (-sizes[i], i))
     best_fit(lost, sizes, cap, bins, room)
     return bins, room
@@ -94,7 +136,7 @@ def crossover(a: Bins, a_room: list[int], b: Bins, b_room: list[int], sizes: lis
 def evolve(sizes: list[int], cap: int, seed: int, elites: list[Bins] | None = None, population: int = POPULATION, generations: int = GENERATIONS) -> Bins:
     """The best packing of one population. ``elites`` come from other islands."""
     rnd = random.Random(seed)
-    least = -(-sum(sizes) // cap)
+    least = lower_bound(sizes, cap)
     by_size = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     pool: list[tuple[tuple, Bins, list[int]]] = []
 
