@@ -52,7 +52,8 @@ def slots(samples: DataFrame, rates: DataFrame, source: list[str], values: tuple
     rate have no grid. Readings are reduced to slots before the shuffle, and only slots are then
     partitioned by (source, shard): what follows inside a shard needs no other shuffle.
     """
-    s = samples.join(rates.filter("hz > 0"), "dataset").withColumn("slot", F.floor(F.col("t_s") * F.col("hz")).cast("long"))
+    s = samples.select(*source, "t_s", "sample_id", *values).join(rates.filter("hz > 0").select("dataset", "hz"), "dataset")
+    s = s.withColumn("slot", F.floor(F.col("t_s") * F.col("hz")).cast("long"))
     s = s.withColumn("shard", F.floor(F.col("slot") / F.lit(shard)).cast("long"))
     s = s.select(*source, "shard", "slot", "hz", *(["t_s", "sample_id", *values] if values else []))
     aggs = [F.count(F.lit(1)).alias("n")]

@@ -142,6 +142,6 @@ def thin(df: DataFrame, keys: list[str], t: str, tie: str, least: int, length: f
         take = (F.size(acc) == 0) | (x[t] - F.element_at(acc, -1)["t"] >= least)
         return F.when(take, F.array_append(acc, F.struct(x[t].alias("t"), x[tie].alias("tie")))).otherwise(acc)
 
-    kept = rows.select(*keys, F.explode(F.aggregate("rows", F.array().cast(kind), step)).alias("k"))
-    kept = kept.select(*keys, F.col("k.t").alias(t), F.col("k.tie").alias(tie))
+    kept = rows.select(*keys, F.explode(F.aggregate("rows", F.array().cast(kind), step)).alias("__kept"))
+    kept = kept.select(*keys, F.col("__kept.t").alias(t), F.col("__kept.tie").alias(tie))
     return df.join(kept, [*keys, t, tie], "left_semi")
