@@ -75,7 +75,7 @@ def test_mix_reaches_sizes(spark):
     rows = [(i, rnd.choice(["a", "a", "a", "b", "c", "d", None]), rnd.choice([0, None, rnd.randint(1, 40)])) for i in range(6000)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "id long, source string, n long, q string")
     targets = [("a", 0.1, 1), ("b", 0.6, 3), ("c", 0.3, 4), ("zzz", 0.1, 2)]
-    drawn, found = mixing.mix(df.drop("q"), targets)
+    drawn, found = mixing.mix(df, targets)
     got = drawn.collect()
     size = defaultdict(int)
     for r in got:
@@ -85,4 +85,4 @@ def test_mix_reaches_sizes(spark):
         assert abs(size[s] - want) <= 41
     assert found["zzz"] == (0, 0.0)
     assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, got))
-    assert mixing.mix(df.drop("q").limit(0), targets)[0].count() == 0
+    assert mixing.mix(df.limit(0), targets)[0].count() == 0

@@ -68,14 +68,14 @@ def _draw(ranked: DataFrame) -> DataFrame:
 
 
 def mix(records: DataFrame, targets: list[tuple[str, float, int]], total: float | None = None, seed: int = 7) -> tuple[DataFrame, dict[str, tuple[int, float]]]:
-    """(records with ``copies`` >= 1, {source: (available, wanted)}).
+    """((id, source, n, copies) of the drawn records, {source: (available, wanted)}).
 
-    ``records`` has id, source, n; ``total`` is the size of the mix, by default all that the target
+    ``records`` has id, source, n, other columns are left out; ``total`` is the size of the mix, by default all that the target
     sources hold.
     """
     spark = records.sparkSession
     names = [s for s, _, _ in targets]
-    mine = records.filter(F.col("source").isin(names) & (F.col("n") > 0))
+    mine = records.select("id", "source", "n").filter(F.col("source").isin(names) & (F.col("n") > 0))
     available = {r.source: r.n for r in mine.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     want = allocate(targets, available, sum(available.values()) if total is None else total)
     caps = {s: max(k or 0, 0) for s, _, k in targets}
@@ -93,4 +93,4 @@ def mix(records: DataFrame, targets: list[tuple[str, float, int]], total: float
     for _ in range(PASSES):
         ranked = _draw(ranked)
     drawn = ranked.withColumn("copies", F.col("sure") + F.col("hit").cast("int"))
-    return drawn.filter("copies > 0").select(*records.columns, "copies"), {s: (available.get(s, 0), want[s]) for s in names}
+    return drawn.filter("copies > 0").select("id", "source", "n", "copies"), {s: (available.get(s, 0), want[s]) for s in names}
