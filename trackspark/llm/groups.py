@@ -36,7 +36,9 @@ def components(records: DataFrame, rec: str, primary: Column, entities: Column)
     """
     r = records.filter(F.col(rec).isNotNull()).select(F.col(rec).alias("rec"), primary.alias("primary"), entities.alias("entities"))
     heads = r.filter("primary IS NOT NULL").groupBy("primary").agg(F.min("rec").alias("head"))
-    nodes = r.join(heads, "primary", "left").select("rec", F.coalesce("head", "rec").alias("node"), "entities")
+    # records without a primary entity stay out of the join: they would all meet in one partition
+    nodes = r.filter("primary IS NOT NULL").join(heads, "primary").select("rec", F.col("head").alias("node"), "entities")
+    nodes = nodes.unionByName(r.filter("primary IS NULL").select("rec", F.col("rec").alias("node"), "entities"))
     own = F.concat(F.lit("record:"), F.col("rec").cast("string"))
     links = nodes.select("node", F.explode(F.array_append(F.filter(F.coalesce("entities", F.array().cast("array<string>")), lambda x: x.isNotNull()), own)).alias("ent")).distinct()
     shared = links.groupBy("ent").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("ent")
