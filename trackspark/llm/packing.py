@@ -29,7 +29,7 @@ from trackspark.session import durable
 CELL = 2048
 ISLANDS = 2
 POPULATION = 4
-GENERATIONS = 4
+GENERATIONS = 12
 #: A bin filled less than this goes to the second round.
 WELL = 0.995
 
