@@ -12,7 +12,7 @@ from trackspark.operators.grid import usable_samples
 from trackspark.operators.periods import ms
 from trackspark.plans import classify, clips, rectify, viewer
 from trackspark.plans.q_spans import HOUR, MIN, POINT, _ranges, widened
-from trackspark.session import table
+from trackspark.session import shared_folder, table
 from trackspark.streaming import operators as S
 
 EP = ["dataset", "episode_id"]
@@ -29,7 +29,7 @@ def _clip_rows(spark: SparkSession, d: str) -> DataFrame:
     spec = clips.ClipSpec(order=("coarse", "activity_summary", "expert", "narration", "fine", "action", "atomic_action", "atomic"), policy="coarse_fine")
     # the coarsest channel of each dataset starts the descent: it takes the first place
     lead = seg.groupBy("dataset", "channel").agg((F.sum(F.col("e") - F.col("s")) / F.count(F.lit(1))).alias("mean")).groupBy("dataset").agg(F.max_by("channel", F.struct("mean", "channel")).alias("lead"))
-    seg = seg.join(F.broadcast(lead), "dataset").withColumn("channel", F.when(F.col("channel") == F.col("lead"), "coarse").otherwise(F.when(F.col("channel") == "coarse", "fine").otherwise(F.col("channel")))).drop("lead")
+    seg = seg.join(lead, "dataset").withColumn("channel", F.when(F.col("channel") == F.col("lead"), "coarse").otherwise(F.when(F.col("channel") == "coarse", "fine").otherwise(F.col("channel")))).drop("lead")
     return clips.rows(seg, s, ends.join(size, "dataset"), EP, spec)
 
 
@@ -83,11 +83,7 @@ def region_verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    import os
-    import tempfile
-
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named or os.path.join(tempfile.gettempdir(), 'trackspark-streams')}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
 
 
 def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:

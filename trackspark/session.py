@@ -25,15 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder all executors share: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a single machine) a temporary folder is used.
+    Where that is unset, a single machine uses its temporary folder, a cluster its warehouse.
     """
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    if spark.sparkContext.master.startswith("local"):
+        return os.path.join(tempfile.gettempdir(), "trackspark-checkpoints")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "trackspark-checkpoints"))
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
