@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.functions.text import numbered
-from trackspark.operators.intervals import overlaps
+from trackspark.operators.intervals import overlaps, stab
+from trackspark.operators.periods import periods
 from trackspark.operators.sharded import lag_over, last_over
 from trackspark.session import durable
 
@@ -96,15 +97,11 @@ def merge_then_split(spans: DataFrame, keys: list[str], longest: int, gap: int,
 
     Regions come from the period operator; a region's borders, at most those of its spans, are folded.
     """
-    from trackspark.operators.periods import periods
-
     p = periods(spans.withColumn("gap", F.lit(gap)), keys).select(*keys, F.col("s").alias("r_s"), F.col("e").alias("r_e"))
     short = p.filter(F.col("r_e") - F.col("r_s") <= longest).select(*keys, F.col("r_s").alias("s"), F.col("r_e").alias("e"))
     long = p.filter(F.col("r_e") - F.col("r_s") > longest)
     width = max(longest, 1) * 4
     marks = spans.select(*keys, F.explode(F.array("s", "e")).alias("b")).distinct()
-    from trackspark.operators.intervals import stab
-
     held = stab(marks, long, keys, "b", width, "[]", s="r_s", e="r_e").groupBy(*keys, "r_s", "r_e").agg(F.sort_array(F.collect_set("b")).alias("bs"))
 
     def cut(acc: Column, x: Column) -> Column:

@@ -196,3 +196,8 @@ SELECT raw_id, take_key, group_key, CAST(item_no AS BIGINT), CAST(child_no AS BI
 SELECT dataset, episode_id, channel, CASE WHEN s - f <= coalesce(short, 0) THEN 'short_gap' ELSE 'long_gap' END, f, s FROM nxt WHERE f IS NOT NULL""",
     "p4_coverage": f"""WITH {_MERGED} SELECT dataset, episode_id, channel, count(*) AS periods, CAST(sum(e - s) AS BIGINT) AS covered_ms, min(s) AS start_ms, max(e) AS end_ms FROM per GROUP BY ALL""",
 }
+ORACLES["p1_episodes"] = f"""WITH g AS ({ORACLES["p1_grid"]}), n AS (SELECT dataset, episode_id, count(*) "rows", count(*) FILTER (state = 'sample') "sample", count(*) FILTER (state = 'filled') filled, count(*) FILTER (state = 'missing') missing, count(*) FILTER (state = 'stop') stop,
+ count(*) FILTER (state = 'before') "before", max(time_s) last_s FROM g GROUP BY 1, 2) SELECT n.*, r.grid_hz AS hz, round((n."sample" + n.filled) / n."rows", 6) AS valid FROM n JOIN recipe r ON n.dataset = r.dataset"""
+ORACLES["p3_takes"] = f"""WITH {_FLAT}, n AS (SELECT raw_id, dataset, unnest(l) p, generate_subscripts(l, 1) - 1 k FROM (SELECT raw_id, dataset, CASE json_type(p) WHEN 'ARRAY' THEN json_extract(p, '$[*]') ELSE [p] END l FROM docs)),
+t AS (SELECT dataset, raw_id, k, e.key take_key FROM n, json_each(n.p, '$.annotations') e WHERE json_type(n.p, '$.annotations') = 'OBJECT' AND dataset IN ('ego-exo4d', 'egome') UNION ALL SELECT dataset, raw_id, k, p->>'$.video_name' FROM n WHERE dataset = 'holoassist' AND json_type(p) = 'OBJECT')
+SELECT dataset, raw_id, CAST(k AS INT) AS top_no, take_key, count(*) AS n FROM t GROUP BY 1, 2, 3, 4"""

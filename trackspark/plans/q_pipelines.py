@@ -7,16 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.fixtures import SPAN_SQL, span, track
+from trackspark.fixtures import SPAN_SQL, span
 from trackspark.operators.grid import usable_samples
 from trackspark.operators.periods import ms
 from trackspark.plans import classify, clips, rectify, viewer
-from trackspark.plans.q_spans import HOUR, MIN, POINT, _ranges, widened
+from trackspark.plans.q_spans import POINT, _ranges, span_export_index, widened
 from trackspark.session import shared_folder, table
 from trackspark.streaming import operators as S
 
 EP = ["dataset", "episode_id"]
-HOURLY = clips.ClipSpec(order=("coarse", "mid", "fine"), fps=1, max_clip_us=50 * MIN, min_clip_us=20 * MIN, drop_us=5 * MIN, gap_us=10 * MIN, max_gap_us=6 * HOUR, shard_us=4 * HOUR, policy="coarse_fine")
 
 
 def _clip_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -61,8 +60,6 @@ def canonical_tables(spark: SparkSession, d: str) -> DataFrame:
 
 def region_prompts(spark: SparkSession, d: str) -> DataFrame:
     """Spans of each track as numbered prompts of 60."""
-    from trackspark.plans.q_spans import span_export_index
-
     w = widened(span(spark, d), POINT).select("ep", "ord", (F.col("s") / 1e6).alias("start_s"), (F.col("e") / 1e6).alias("end_s"), "text")
     s = span_export_index(spark, d).join(w, ["ep", "ord"])
     p = classify.prompts(s, ["ep"], "Mark the spans in which something is done with the hands.")
@@ -71,8 +68,6 @@ def region_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 def region_verdicts(spark: SparkSession, d: str) -> DataFrame:
     """Answers, some of them cut off, parsed and joined to their spans; what is missing counts as dull."""
-    from trackspark.plans.q_spans import span_export_index
-
     m = _ranges(spark, d).select("ep", "ord", F.col("interesting").alias("mark"), (F.col("s") / 1e6).alias("start_s"), (F.col("e") / 1e6).alias("end_s"))
     s = span_export_index(spark, d).join(m, ["ep", "ord"])
     item = F.struct("i", F.col("mark").alias("interesting"), F.lit("seen").alias("reason"))

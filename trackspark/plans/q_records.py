@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.functions import geometry as G
@@ -11,7 +13,7 @@ from trackspark.functions import time as TM
 from trackspark.functions.predicate import glob, predicate
 from trackspark.operators.dedupe import latest
 from trackspark.operators.grid import usable_samples
-from trackspark.operators.sharded import lag_over
+from trackspark.operators.sharded import lag_over, number_over
 from trackspark.plans import splits, validate
 from trackspark.session import table
 from trackspark.sources import catalog
@@ -230,8 +232,6 @@ def viewer_roles(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "segment").select("segment_id", *EP, F.lower(F.trim("channel")).alias("channel"), F.coalesce("start_s", "point_s").alias("at")).distinct()
     role = F.when(F.col("channel").isin("fine", "atomic", "action", "narration", "atomic_action"), "source").when(F.col("channel") == "coarse", "final").otherwise("auxiliary")
     s = s.withColumn("role", role).filter("at IS NOT NULL AND NOT isnan(at)").withColumn("us", F.round(F.col("at") * 1e6).cast("long"))
-    from trackspark.operators.sharded import number_over
-
     return number_over(s, [*EP, "role"], "us", "segment_id", "i", 600_000_000).select("segment_id", "role", "i")
 
 
@@ -340,9 +340,7 @@ cells AS (SELECT dataset, episode_id, ord, sample_id, unnest([CASE WHEN NOT same
 diff AS (SELECT dataset, episode_id, ord, sample_id, c AS "column", 'differs' AS kind FROM cells WHERE c IS NOT NULL
  UNION ALL SELECT dataset, episode_id, ord, sample_id, '*', 'missing' FROM e WHERE NOT EXISTS (SELECT 1 FROM a WHERE e.dataset = a.dataset AND e.episode_id = a.episode_id AND e.ord = a.ord AND e.sample_id = a.sample_id)
  UNION ALL SELECT dataset, episode_id, ord, sample_id, '*', 'unexpected' FROM a WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.dataset = a.dataset AND e.episode_id = a.episode_id AND e.ord = a.ord AND e.sample_id = a.sample_id))"""
-import re as _re  # noqa: E402
-
-_VER = _re.sub(r"same\((\w+), (\w+), ([\de-]+)\)", r"(CASE WHEN \1 IS NULL OR \2 IS NULL THEN \1 IS NULL AND \2 IS NULL WHEN isnan(\1) AND isnan(\2) THEN true ELSE abs(\1 - \2) <= \3 END)", _VER)
+_VER = re.sub(r"same\((\w+), (\w+), ([\de-]+)\)", r"(CASE WHEN \1 IS NULL OR \2 IS NULL THEN \1 IS NULL AND \2 IS NULL WHEN isnan(\1) AND isnan(\2) THEN true ELSE abs(\1 - \2) <= \3 END)", _VER)
 _BOX = f"least({SIDE} / CAST(r.width AS DOUBLE), {SIDE} / CAST(r.height AS DOUBLE))"
 
 

@@ -10,6 +10,8 @@ from trackspark.functions import text as T
 from trackspark.operators import asof, intervals, sequence
 from trackspark.operators.periods import ms, periods
 from trackspark.operators.sharded import lag_over, number_over
+from trackspark.plans.q_tracks import ORACLES as TRACK_ORACLES
+from trackspark.plans.q_tracks import resample_grid, sliding_frames_causal
 from trackspark.session import table
 
 DAY = 86_400_000_000
@@ -189,8 +191,6 @@ def clip_rows_nested(spark: SparkSession, d: str) -> DataFrame:
     clips = _ranges(spark, d).filter("channel = 'coarse'").select("ep", F.col("ord").alias("clip"), "s", "e")
     base = F.rint(F.col("s") / float(HOUR)).cast("long")
     frames = clips.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("e") - F.col("s")) / HOUR).cast("long")))).withColumn("frame_index", base + F.col("j"))
-    from trackspark.plans.q_tracks import resample_grid
-
     pts = resample_grid(spark, d)
     rows = frames.join(pts, ["ep", "frame_index"], "left").withColumn("real", F.coalesce("valid", F.lit(False)))
     g = rows.groupBy("ep", "clip").agg(F.sort_array(F.collect_list(F.struct("j", "frame_index", F.when(F.col("real"), F.struct("x", "y")).alias("point")))).alias("frames"))
@@ -199,8 +199,6 @@ def clip_rows_nested(spark: SparkSession, d: str) -> DataFrame:
 
 def sliding_examples(spark: SparkSession, d: str) -> DataFrame:
     """Sliding windows of 16 frames that end at a frame with a point, with the spans active there."""
-    from trackspark.plans.q_tracks import resample_grid, sliding_frames_causal
-
     a = sliding_frames_causal(spark, d).join(resample_grid(spark, d).filter("valid").withColumnRenamed("frame_index", "anchor"), ["ep", "anchor"])
     a = a.withColumn("us", F.col("anchor") * HOUR)
     act = intervals.stab(a.select("ep", "anchor", "us"), _ranges(spark, d).select("ep", "ord", "s", "e", "text"), ["ep"], "us", WIDTH, "[]").groupBy("ep", "anchor").agg(F.min_by("text", F.struct("s", "ord")).alias("text"))
@@ -234,11 +232,7 @@ _USABLE = """u AS (SELECT DISTINCT dataset, episode_id, channel, segment_id, CAS
 _INDEX = "idx AS (SELECT ep, ord, channel, row_number() OVER (PARTITION BY ep ORDER BY CASE channel WHEN 'coarse' THEN 0 WHEN 'mid' THEN 1 WHEN 'fine' THEN 2 ELSE 3 END, ord) - 1 i FROM wide)"
 
 
-def _resample_sql() -> str:
-    from trackspark.plans.q_tracks import ORACLES as o
-
-    return o["resample_grid"]
-
+_RESAMPLED = TRACK_ORACLES["resample_grid"]
 
 ORACLES = {
     "interval_stab_halfopen_join_labels": f"WITH {TRACK_SQL}, {SPAN_SQL}, {_FRAMES} SELECT g.ep, g.frame_index, coalesce(string_agg(p.text, '|' ORDER BY p.ord), '') AS labels FROM gp g LEFT JOIN span p ON g.ep = p.ep AND p.kind = 'interval' AND g.us >= p.s AND g.us < p.e GROUP BY 1, 2",
@@ -281,7 +275,7 @@ SELECT ep, channel, s + i * {50 * MIN} AS start_us, least(e, s + (i + 1) * {50 *
 i AS (SELECT *, sum(CASE WHEN m IS NULL OR start_ms > m THEN 1 ELSE 0 END) OVER (PARTITION BY dataset, episode_id, channel ORDER BY start_ms, end_ms ROWS UNBOUNDED PRECEDING) k FROM f), c AS (SELECT dataset, episode_id, channel, k, max(end_ms) - min(start_ms) n, count(*) r, min(start_ms) lo, max(end_ms) hi FROM i GROUP BY ALL)
 SELECT dataset, episode_id, channel, CAST(sum(r) AS BIGINT) AS n, min(lo) AS first_ms, max(hi) AS last_ms, CAST(sum(n) AS BIGINT) AS covered_ms FROM c GROUP BY 1, 2, 3""",
 }
-ORACLES["clip_rows_nested"] = f"""WITH rs AS ({_resample_sql()}), {SPAN_SQL}, c AS (SELECT ep, ord clip, CAST(round_even(s / {float(HOUR)!r}, 0) AS BIGINT) b, unnest(generate_series(0, (e - s) // {HOUR})) j FROM span WHERE channel = 'coarse')
+ORACLES["clip_rows_nested"] = f"""WITH rs AS ({_RESAMPLED}), {SPAN_SQL}, c AS (SELECT ep, ord clip, CAST(round_even(s / {float(HOUR)!r}, 0) AS BIGINT) b, unnest(generate_series(0, (e - s) // {HOUR})) j FROM span WHERE channel = 'coarse')
 SELECT c.ep, c.clip, count(*) AS n_frames, count(*) FILTER (coalesce(r.valid, false)) AS n_real, string_agg(CAST(c.b + c.j AS VARCHAR), ',' ORDER BY c.j) AS frame_list, round(sum(CASE WHEN r.valid THEN r.x ELSE 0 END), 3) AS sum_x FROM c LEFT JOIN rs r ON c.ep = r.ep AND r.frame_index = c.b + c.j GROUP BY 1, 2"""
-ORACLES["sliding_examples"] = f"""WITH rs AS ({_resample_sql()}), {TRACK_SQL}, {SPAN_SQL}, l AS (SELECT ep, max(us) // {HOUR} AS last FROM track GROUP BY ep), a AS (SELECT ep, unnest(generate_series(0, last, 8)) anchor, last FROM l), w AS (SELECT a.ep, anchor, anchor - 15 AS first_frame, r.x, r.y FROM a JOIN rs r ON a.ep = r.ep AND a.anchor = r.frame_index AND r.valid WHERE anchor - 15 >= 0 AND anchor <= last)
+ORACLES["sliding_examples"] = f"""WITH rs AS ({_RESAMPLED}), {TRACK_SQL}, {SPAN_SQL}, l AS (SELECT ep, max(us) // {HOUR} AS last FROM track GROUP BY ep), a AS (SELECT ep, unnest(generate_series(0, last, 8)) anchor, last FROM l), w AS (SELECT a.ep, anchor, anchor - 15 AS first_frame, r.x, r.y FROM a JOIN rs r ON a.ep = r.ep AND a.anchor = r.frame_index AND r.valid WHERE anchor - 15 >= 0 AND anchor <= last)
 SELECT w.ep, w.anchor, w.first_frame, any_value(w.x) AS x, any_value(w.y) AS y, coalesce(arg_min(p.text, (p.s, p.ord)), '') AS text FROM w LEFT JOIN span p ON p.ep = w.ep AND p.kind = 'interval' AND w.anchor * {HOUR} BETWEEN p.s AND p.e GROUP BY 1, 2, 3"""

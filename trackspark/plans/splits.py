@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackspark.functions.text import dataset_of
+from trackspark.functions.text import dataset_of, fill_template
 from trackspark.operators.sharded import number_over
 
 #: Ranges of the hash in which positions are counted.
@@ -90,7 +90,5 @@ def proportional(rows: DataFrame, ident: str, group: str, ratios: list[tuple[str
 
 def pull_manifest(split: DataFrame, template: str) -> DataFrame:
     """(split, dataset, episode, uri) of split members, by a layout template with {dataset} and {episode}."""
-    from trackspark.functions.text import fill_template
-
     ds, ep = F.split_part("id", F.lit(":"), F.lit(1)), F.split_part("id", F.lit(":"), F.lit(2))
     return split.select("split", ds.alias("dataset"), ep.alias("episode"), fill_template(template, {"dataset": ds, "episode": ep}).alias("uri"))

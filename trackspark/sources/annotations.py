@@ -6,6 +6,7 @@ point are kept here and left out where spans are needed.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,8 +49,6 @@ def read_csv(spark: SparkSession, path: str, spec: SegmentSpec) -> DataFrame:
     head = first[0][0] if first else ""
     sep = ";" if head.count(";") > head.count(",") else ","
     names = [n.strip().strip("#").strip() for n in head.split(sep)]
-    import re
-
     names = [re.sub(r"\s*\([^)]*\)\s*$", "", n) for n in names]
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", r"\r?\n")).alias("ord", "line")).filter("ord > 0 AND trim(line) <> ''")
     cells = F.from_csv("line", F.lit(", ".join(f"c{i} STRING" for i in range(len(names)))), {"sep": sep})
@@ -60,8 +59,6 @@ def read_csv(spark: SparkSession, path: str, spec: SegmentSpec) -> DataFrame:
 def read_json_items(items: DataFrame, ids: list[str], spec: SegmentSpec, fields: str = "fields") -> DataFrame:
     """Items of nested payloads (see operators.nested) as segments; ``fields`` is a map of VARIANT."""
     names = {n for n in [spec.start, spec.end, spec.point, *spec.text, *spec.extras] if n}
-    import re
-
     for p in (spec.keep, spec.drop):
         if p:
             names.add(re.match(r"^\s*([\w.\- ]+?)\s*(==|!=|>=|<=|>|<)", p)[1].strip())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackspark.functions.text import url_basename
@@ -135,8 +135,6 @@ def markdown_catalog(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("ord", "line"))
     # headings and links of one document: its lines fit a row, so the fill-down does as well
     head = F.nullif(F.regexp_extract("line", r"^#{1,6}\s+(.*?)\s*$", 1), F.lit(""))
-    from pyspark.sql import Window
-
     w = Window.partitionBy(F.lit(0)).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     links = lines.withColumn("head", F.last(head, ignorenulls=True).over(w)).select("ord", "head", F.explode(F.regexp_extract_all("line", F.lit(r"(https?://[^\s)>\]]+)"), 1)).alias("url"))
     return links.select(dataset_name(F.col("head")).alias("dataset"), "url", url_basename(F.col("url")).alias("filename"))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 def template_glob(template: str) -> tuple[str, str]:
     """(glob, pattern) of a path template: every {name} stands for one path part or a piece of it."""
-
     glob = re.sub(r"\{\w+\}", "*", template)
     pattern = ""
     seen: set[str] = set()
@@ -21,7 +20,6 @@ def template_glob(template: str) -> tuple[str, str]:
             seen.add(n)
         else:
             pattern += re.escape(part).replace(r"\*", "[^/]*")
-
     return glob, pattern + "$"
 
 
