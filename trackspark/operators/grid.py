@@ -6,7 +6,8 @@ across shard borders, and every shard is then filled on its own. No task ever se
 shard of a source, so a source with a third of all rows is spread like any other.
 
 Defined results
-* no readings, or only unusable ones: the source has no rows;
+* no readings, or only unusable ones: the source has no rows, but :func:`fill` marks all its slots
+  "missing" where :func:`ends` knows it;
 * repeated readings, ties in time: one slot takes the reading latest in time, then by id;
 * null, NaN, infinite or negative times and null or NaN values are unusable;
 * a null source column is a source of its own; extra columns are ignored.
@@ -34,6 +35,12 @@ def is_usable(t: str = "t_s", values: tuple[str, ...] = ("x", "y"), valid: str =
     return F.coalesce(cond, F.lit(False))
 
 
+def newest_samples(gaze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(sample_id, ok, dataset, episode_id, t_s, *keep) of the newest version of every sample, usable or not."""
+    cols = [F.when(is_usable(), F.col(c)).alias(c) for c in keep]
+    return latest(gaze.select("sample_id", "arrived_at", is_usable().alias("ok"), "dataset", "episode_id", "t_s", *cols), "sample_id", "arrived_at").drop("arrived_at")
+
+
 def usable_samples(gaze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(sample_id, dataset, episode_id, t_s, *keep) of the usable newest versions.
 
@@ -79,13 +86,29 @@ def gaps(occupied: DataFrame, source: list[str]) -> DataFrame:
     return inner.unionByName(border).filter("slot_from <= slot_to")
 
 
-def fill(occupied: DataFrame, source: list[str], values: tuple[str, ...], max_gap: DataFrame, shard: int = SHARD, stop_s: float = STOP_S) -> DataFrame:
+def ends(episodes: DataFrame, newest: DataFrame, rates: DataFrame, source: list[str]) -> DataFrame:
+    """(source, hz, end): the last slot of every source, one row each.
+
+    ``episodes`` gives ``duration_s`` per source and may repeat; ``newest`` comes from
+    :func:`newest_samples`, so that unusable samples reach as far as usable ones. The later of both
+    counts. Durations and times that are null, NaN, infinite or negative say nothing; a source
+    without any other has slot 0 alone.
+    """
+    both = episodes.select(*source, F.col("duration_s").alias("t")).unionByName(newest.select(*source, F.col("t_s").alias("t")))
+    known = (F.col("t") >= 0) & ~F.isnan("t") & (F.col("t") < F.lit(float("inf")))
+    last = both.groupBy(*source).agg(F.max(F.when(known, F.col("t"))).alias("t")).join(rates.filter("hz > 0").select("dataset", "hz"), "dataset")
+    return last.select(*source, "hz", F.coalesce(F.floor(F.col("t") * F.col("hz")).cast("long"), F.lit(0).cast("long")).alias("end"))
+
+
+def fill(occupied: DataFrame, source: list[str], values: tuple[str, ...], max_gap: DataFrame, shard: int = SHARD, stop_s: float = STOP_S, until: DataFrame | None = None) -> DataFrame:
     """The full grid: source, slot, time_s, values, valid, state.
 
     ``occupied`` comes from :func:`slots` with the same values; ``max_gap`` gives ``max_gap_s`` per
     dataset. An empty slot between two readings at most ``max_gap_s`` apart is interpolated
     ("filled"); others are marked "missing", those of a recorder stop "stop", those before the
-    first reading "before". Slots run from 0 to the last occupied one.
+    first reading "before". Slots run from 0 to the last occupied one, or with ``until`` (from
+    :func:`ends`) to the source's end: those after the last reading, and all of a source without
+    readings, are "missing".
     """
     here = ["slot", "t_s", *values]
     flat = occupied.select(*source, "shard", "hz", "slot", F.col("r.t_s").alias("t_s"), *[F.col(f"r.{v}").alias(v) for v in values])
@@ -99,7 +122,13 @@ def fill(occupied: DataFrame, source: list[str], values: tuple[str, ...], max_ga
     runs = flat.filter("prev IS NOT NULL").unionByName(first)
     runs = runs.join(max_gap, "dataset", "left")
     lo = F.coalesce(F.col("prev.slot") + 1, F.lit(0).cast("long"))
-    runs = runs.withColumn("lo", lo).withColumn("chunk", F.explode(F.sequence(F.floor(F.col("lo") / shard), F.floor(F.col("slot") / shard))))
+    runs = runs.withColumn("lo", lo).withColumn("tail", F.lit(False))
+    if until is not None:
+        reached = occupied.groupBy(*source).agg(F.max("slot").alias("reached"))
+        tails = join_null_safe(until, reached, source).withColumn("lo", F.coalesce(F.col("reached") + 1, F.lit(0).cast("long")))
+        tails = tails.filter("lo <= end").select(*source, "hz", F.col("end").alias("slot"), "lo", F.lit(True).alias("tail"))
+        runs = runs.unionByName(tails, allowMissingColumns=True)
+    runs = runs.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("lo") / shard), F.floor(F.col("slot") / shard))))
     a, b = F.greatest("lo", F.col("chunk") * shard), F.least("slot", F.col("chunk") * shard + (shard - 1))
     runs = runs.withColumn("g", F.explode(F.sequence(a.cast("long"), b.cast("long"))))
     own = F.col("g") == F.col("slot")
@@ -107,7 +136,8 @@ def fill(occupied: DataFrame, source: list[str], values: tuple[str, ...], max_ga
     share = (time - F.col("prev.t_s")) / (F.col("t_s") - F.col("prev.t_s"))
     close = F.coalesce((F.col("t_s") - F.col("prev.t_s")) <= F.col("max_gap_s"), F.lit(False))
     state = (
-        F.when(own, "sample")
+        F.when(F.col("tail"), "missing")
+        .when(own, "sample")
         .when(F.col("prev").isNull(), "before")
         .when((F.col("slot") - F.col("lo")) / F.col("hz") > stop_s, "stop")
         .when(close, "filled")

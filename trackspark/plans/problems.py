@@ -27,11 +27,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_grid(spark: SparkSession, d: str) -> DataFrame:
-    """The full grid of every episode, each slot with a value or a mark."""
-    samples = grid.usable_samples(table(spark, d, "gaze_sample"), ("x", "y"))
-    occupied = grid.slots(samples, _rates(spark, d), SOURCE, ("x", "y"))
+    """The full grid of every episode, to its end, each slot with a value or a mark."""
+    newest = grid.newest_samples(table(spark, d, "gaze_sample"), ("x", "y"))
+    occupied = grid.slots(newest.filter("ok"), _rates(spark, d), SOURCE, ("x", "y"))
+    ends = grid.ends(table(spark, d, "episode"), newest, _rates(spark, d), SOURCE)
     limit = table(spark, d, "recipe").select("dataset", F.col("max_gaze_valid_gap_s").alias("max_gap_s"))
-    out = grid.fill(occupied, SOURCE, ("x", "y"), limit)
+    out = grid.fill(occupied, SOURCE, ("x", "y"), limit, until=ends)
     return out.withColumn("time_s", F.round("time_s", 6)).withColumn("x", F.round("x", 4)).withColumn("y", F.round("y", 4))
 
 
