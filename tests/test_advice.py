@@ -1,8 +1,10 @@
 """Whole results where earlier versions left rows out."""
 
 import datetime as dt
+import json
 
 from trackspark.operators import grid
+from trackspark.plans import problems
 
 SRC = ["dataset", "episode_id"]
 
@@ -21,3 +23,25 @@ def test_p1_grid_runs_to_the_end_of_every_episode(spark):
     miss = lambda e, ks: [(e, k, "missing", None, False) for k in ks]
     want = [("a", 0, "sample", 1.0, True), *miss("a", (1, 2, 3)), *miss("b", (0, 1, 2)), *[("c", k, "before", None, False) for k in range(4)], ("c", 4, "sample", 1.0, True), *miss("e", (0, 1)), *miss("f", (0,)), *miss("g", (0,)), *miss("", (0,))]
     assert got == sorted(want, key=str)
+
+
+def test_p3_tables_point_to_their_parents_and_carry_all_fields(spark, tmp_path):
+    docs = [
+        (1, "ego-exo4d", {"annotations": {"t": [{"rejected": True, "annotator_id": "a"}, {"descriptions": [{"text": "x", "unsure": False, "revisions": [{"by": "r", "k": 1}]}]}], "u": None}}),
+        (2, "egome", {"annotations": {"v": {"fine": [{"label": 3, "attributes": {"Noun": "cup", "a/b": [1]}}], "coarse": [], "subject": "s"}}}),
+        (3, "holoassist", [{"video_name": "w", "task_name": "n", "events": [{"id": 0}]}]),
+    ]
+    at = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(i, d, json.dumps(p), at) for i, d, p in docs], "raw_id long, dataset string, payload string, arrived_at timestamp").write.parquet(f"{tmp_path}/raw_annotation.parquet")
+    paths = [("ego-exo4d", "annotations.{take_uid}"), ("egome", "annotations.{episode}"), ("holoassist", "[video_name].events")]
+    spark.createDataFrame(paths, "dataset string, select_path string").write.parquet(f"{tmp_path}/recipe.parquet")
+    rows = {n: problems.QUERIES[n](spark, str(tmp_path)).collect() for n in ("p3_takes", "p3_groups", "p3_items", "p3_revisions")}
+    ids = {n: {r.row_id for r in t} for n, t in rows.items()}
+    assert all(len(ids[n]) == len(t) for n, t in rows.items())
+    for child, parent in (("p3_groups", "p3_takes"), ("p3_items", "p3_groups"), ("p3_revisions", "p3_items")):
+        assert rows[child] and {r.parent_id for r in rows[child]} <= ids[parent]
+    got = {n: {(r.take_key, r.group_key if n != "p3_takes" else None): r.fields for r in t} for n, t in rows.items()}
+    assert got["p3_takes"] == {("t", None): {}, ("u", None): {"": "null"}, ("v", None): {"subject": '"s"', "coarse": "[]"}, ("w", None): {"task_name": '"n"', "video_name": '"w"'}}
+    assert got["p3_groups"] == {("t", "0"): {"rejected": "true", "annotator_id": '"a"'}, ("t", "1"): {}, ("v", "fine"): {}, ("w", "events"): {}}
+    assert got["p3_items"] == {("t", "1"): {"text": '"x"', "unsure": "false"}, ("v", "fine"): {"label": "3", "attributes/Noun": '"cup"', "attributes/a~1b": "[1]"}, ("w", "events"): {"id": "0"}}
+    assert got["p3_revisions"] == {("t", "1"): {"by": '"r"', "k": "1"}}

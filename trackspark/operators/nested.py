@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,6 +104,26 @@ def child(level: DataFrame, ids: list[str]) -> DataFrame:
     return e.select(*ids, "path", "parent_id", F.col("position").cast("long").alias("position"), trail.alias("trail"), sid.alias("row_id"), "fields")
 
 
+def holds_objects(v: Column) -> Column:
+    """True if the value is an object or a list with one in it: a level with rows of its own."""
+    return F.exists(as_list(v), lambda x: fields_of(x).isNotNull())
+
+
+def flat(fields: Column, level: Callable[[Column], Column] | None = None) -> Column:
+    """All fields as a map from path to JSON text, those left out that are levels with own rows.
+
+    ``level`` tells by name which fields may be levels. Objects are opened once ("name/field"; "~" and
+    "/" inside names are "~0" and "~1"), what lies deeper and lists are JSON text.
+    """
+    if level is not None:
+        fields = F.map_filter(fields, lambda k, v: ~(level(k) & holds_objects(v)))
+    name = lambda k: F.replace(F.replace(k, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+    pair = lambda k, v: F.struct(k.alias("key"), F.to_json(v).alias("value"))
+    inner = lambda e: F.transform(F.map_entries(fields_of(e["value"])), lambda x: pair(F.concat(name(e["key"]), F.lit("/"), name(x["key"])), x["value"]))
+    open_ = lambda e: F.when(F.size(fields_of(e["value"])) > 0, inner(e)).otherwise(F.array(pair(name(e["key"]), e["value"])))
+    return F.map_from_entries(F.flatten(F.transform(F.map_entries(fields), open_)))
+
+
 def _walk(v: object, path: tuple[str, ...], seen: Counter) -> None:
     if isinstance(v, list):
         for x in v:

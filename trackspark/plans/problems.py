@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.operators import grid, nested, periods
@@ -56,32 +58,47 @@ def _paths(spark: SparkSession, d: str) -> dict[str, tuple]:
     return {r.dataset: nested.compile_path(r.select_path) for r in rows}
 
 
+def _take_id() -> Column:
+    return F.md5(F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in TAKE]))
+
+
+def _levels(paths: dict[str, tuple]) -> tuple[Callable[[Column], Column], Column]:
+    """(does a field of that name hold items, are the dataset's groups the entries of a take)."""
+    by_position = F.col("dataset").isin(*[n for n in paths if n in ITEM_LEVELS])
+
+    def is_level(key: Column) -> Column:
+        cond = F.lit(False)
+        for name, (_, _, level) in paths.items():
+            at = F.col("dataset") == name
+            cond = cond | (at & (key == level) if level else at & key.isin(*ITEM_LEVELS[name]) if name in ITEM_LEVELS else at)
+        return cond
+
+    return is_level, by_position
+
+
 def _items(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups, items, revisions), each pointing to its parent by ``parent_id``."""
-    paths = _paths(spark, d)
     t = _takes(spark, d)
     deep = nested.levels(t, "take", TAKE)
     if not deep:
-        none = t.select(*TAKE).filter("false").selectExpr(*TAKE, "'' parent_id", "'' row_id", "'' group_key", "0L group_no", "0L item_no", "0L child_no", "CAST(NULL AS MAP<STRING, VARIANT>) fields")
+        none = t.select(*TAKE).filter("false").selectExpr(*TAKE, "'' parent_id", "'' row_id", "'' group_key", "0L group_no", "'' level", "0L item_no", "0L child_no", "CAST(NULL AS MAP<STRING, VARIANT>) fields")
         return none, none, none
     while len(deep) < 3:
         deep.append(nested.child(deep[-1], TAKE))
-    group, item, rev = deep[:3]
-    is_item = F.lit(False)
+    top, item, rev = deep[:3]
+    is_level, by_position = _levels(_paths(spark, d))
     key = F.col("path")[0]
-    for name, (kind, _, level) in paths.items():
-        at = F.col("dataset") == name
-        if level:
-            is_item = is_item | (at & (key == level))
-        elif name in ITEM_LEVELS:
-            is_item = is_item | (at & key.isin(*ITEM_LEVELS[name]))
-        else:
-            is_item = is_item | at
-    by_position = F.col("dataset").isin(*[n for n in paths if n in ITEM_LEVELS])
     group_no, item_no = F.col("trail")[0], F.col("trail")[1]
     named = F.when(by_position, group_no.cast("string")).otherwise(key).alias("group_key")
-    item = item.filter(is_item).select(*TAKE, "parent_id", "row_id", named, group_no.alias("group_no"), item_no.alias("item_no"), "fields")
-    rev = rev.filter(is_item & (F.element_at("path", -1) == "revisions"))
+    # a pass is a group by itself, a level one below its take
+    below = lambda parent, name: F.md5(F.concat_ws("/", parent, name))
+    passes = top.filter(by_position).select(*TAKE, _take_id().alias("parent_id"), "row_id", group_no.cast("string").alias("group_key"), group_no.alias("group_no"), "fields")
+    named_levels = top.filter(~by_position).select(*TAKE, "row_id", group_no.alias("group_no"), F.explode("fields").alias("group_key", "value")).filter(is_level(F.col("group_key")) & nested.holds_objects(F.col("value")))
+    named_levels = named_levels.select(*TAKE, _take_id().alias("parent_id"), below("row_id", "group_key").alias("row_id"), "group_key", "group_no", F.expr("CAST(map() AS MAP<STRING, VARIANT>)").alias("fields"))
+    group = passes.unionByName(named_levels)
+    parent = F.when(by_position, F.col("parent_id")).otherwise(below("parent_id", key)).alias("parent_id")
+    item = item.filter(is_level(key)).select(*TAKE, parent, "row_id", named, group_no.alias("group_no"), key.alias("level"), item_no.alias("item_no"), "fields")
+    rev = rev.filter(is_level(key) & (F.element_at("path", -1) == "revisions"))
     rev = rev.select(*TAKE, "parent_id", "row_id", named, item_no.alias("item_no"), F.col("position").alias("child_no"), "fields")
     return group, item, rev
 
@@ -102,24 +119,42 @@ def _num(*names: str):
 
 
 def p3_takes(spark: SparkSession, d: str) -> DataFrame:
-    return _takes(spark, d).groupBy(*TAKE).agg(F.count(F.lit(1)).alias("n"))
+    """Takes with their key as ``row_id`` and the fields that are no group of their own.
+
+    A take that is no object has its JSON under the path "", unless it is the list of its groups.
+    """
+    is_level, by_position = _levels(_paths(spark, d))
+    own = nested.fields_of(F.col("take"))
+    listed = by_position & F.try_variant_get(F.col("take"), "$", "array<variant>").isNotNull()
+    none = F.expr("CAST(map() AS MAP<STRING, STRING>)")
+    fields = F.when(listed | (by_position & own.isNotNull()), none).when(own.isNotNull(), nested.flat(own, is_level)).otherwise(F.create_map(F.lit(""), F.to_json("take")))
+    t = _takes(spark, d).select(*TAKE, _take_id().alias("row_id"), fields.alias("fields"))
+    return t.groupBy(*TAKE, "row_id").agg(F.count(F.lit(1)).alias("n"), F.any_value("fields").alias("fields"))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Passes and levels, with items or without: parent key, position and all other fields."""
+    group, _, _ = _items(spark, d)
+    is_level, _ = _levels(_paths(spark, d))
+    return group.select(*TAKE, "parent_id", "row_id", "group_key", "group_no", nested.flat(F.col("fields"), is_level).alias("fields"))
 
 
 def p3_items(spark: SparkSession, d: str) -> DataFrame:
-    """Items as a flat table: parent key, position, text and times whatever their spelling."""
+    """Items as a flat table: parent key, position, text and times whatever their spelling, all fields."""
     _, item, _ = _items(spark, d)
     span = F.try_variant_get(F.col("fields")["Step timestamp"], "$", "array<string>")
     return item.select(
-        *TAKE, "parent_id", "row_id", "group_key", "item_no",
+        *TAKE, "parent_id", "row_id", "group_key", "level", "item_no",
         F.coalesce(_text("text", "Step description"), F.try_variant_get(F.col("fields")["attributes"], "$['Action sentence']", "string"), F.try_variant_get(F.col("fields")["attributes"], "$['Long form description']", "string")).alias("text"),
         F.coalesce(_num("timestamp", "video_time", "start"), F.get(span, F.lit(0)).try_cast("double")).alias("start_s"),
         F.coalesce(_num("end"), F.get(span, F.lit(1)).try_cast("double")).alias("end_s"),
+        nested.flat(F.col("fields"), lambda k: k == "revisions").alias("fields"),
     )
 
 
 def p3_revisions(spark: SparkSession, d: str) -> DataFrame:
     _, _, rev = _items(spark, d)
-    return rev.select(*TAKE, "parent_id", "row_id", "group_key", "item_no", "child_no", _text("by").alias("by"), _text("text").alias("text"))
+    return rev.select(*TAKE, "parent_id", "row_id", "group_key", "item_no", "child_no", _text("by").alias("by"), _text("text").alias("text"), nested.flat(F.col("fields")).alias("fields"))
 
 
 def p3_schema(spark: SparkSession, d: str) -> DataFrame:
@@ -155,7 +190,7 @@ def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy(*SOURCE, "channel").agg(F.count(F.lit(1)).alias("periods"), F.sum(F.col("e") - F.col("s")).alias("covered_ms"), F.min("s").alias("start_ms"), F.max("e").alias("end_ms"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p1_episodes, p3_found, p3_takes, p3_items, p3_revisions, p3_schema, p4_found, p4_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_grid, p1_episodes, p3_found, p3_takes, p3_groups, p3_items, p3_revisions, p3_schema, p4_found, p4_coverage)}
 
 _USABLE = """latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY arrived_at DESC NULLS LAST) rn FROM gaze_sample) WHERE rn = 1),
 usable AS (SELECT l.dataset, l.episode_id, l.sample_id, l.t_s, l.x, l.y, r.grid_hz, r.max_gaze_valid_gap_s mg, CAST(floor(l.t_s * r.grid_hz) AS BIGINT) slot FROM latest l JOIN recipe r ON l.dataset = r.dataset
