@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 from trackspark.operators import grid
-from trackspark.plans import problems
+from trackspark.plans import problems, q_pipelines
 
 SRC = ["dataset", "episode_id"]
 
@@ -45,3 +45,11 @@ def test_p3_tables_point_to_their_parents_and_carry_all_fields(spark, tmp_path):
     assert got["p3_groups"] == {("t", "0"): {"rejected": "true", "annotator_id": '"a"'}, ("t", "1"): {}, ("v", "fine"): {}, ("w", "events"): {}}
     assert got["p3_items"] == {("t", "1"): {"text": '"x"', "unsure": "false"}, ("v", "fine"): {"label": "3", "attributes/Noun": '"cup"', "attributes/a~1b": "[1]"}, ("w", "events"): {"id": "0"}}
     assert got["p3_revisions"] == {("t", "1"): {"by": '"r"', "k": "1"}}
+
+
+def test_canonical_tables_label_segments_between_whole_seconds(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, "d", "e", 0.1, 0.5, 0.5, True, at), (2, "d", "e", 1.9, 0.5, 0.5, True, at)], "sample_id long, dataset string, episode_id string, t_s double, x double, y double, valid boolean, arrived_at timestamp").write.parquet(f"{tmp_path}/gaze_sample.parquet")
+    spark.createDataFrame([(1, "d", "e", 1.2, 1.6, "c", "t")], "segment_id long, dataset string, episode_id string, start_s double, end_s double, channel string, text string").write.parquet(f"{tmp_path}/segment.parquet")
+    (r,) = q_pipelines.canonical_tables(spark, str(tmp_path)).collect()
+    assert (r.instants, r.with_gaze, r.labelled) == (20, 19, 4)

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackspark.config import Grid
 from trackspark.fixtures import SPAN_SQL, span
 from trackspark.operators.grid import usable_samples
 from trackspark.operators.periods import ms
@@ -49,10 +50,10 @@ def viewer_annotations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def canonical_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Canonical grids of all recordings at 1 Hz: instants, instants with gaze, labelled instants."""
+    """Canonical grids of all recordings at the default rate: instants, instants with gaze, labelled instants."""
     s = usable_samples(table(spark, d, "gaze_sample"), ("x", "y")).select(*EP, F.col("sample_id").alias("ord"), F.col("t_s").alias("time_s"), F.col("x").alias("x_norm"), F.col("y").alias("y_norm"))
     seg = table(spark, d, "segment").filter("end_s > start_s").select(*EP, F.col("segment_id").alias("ord"), "start_s", "end_s", F.col("channel").alias("label"), "text").distinct()
-    t = rectify.rectify(s, seg, None, 1.0)
+    t = rectify.rectify(s, seg, None, Grid().hz)
     keys = [*EP, "frame_index"]
     g = t["gaze"].select(*keys, F.col("x_norm").isNotNull().alias("gaze")).join(t["annotations"].select(*keys, (F.col("labels") != "").alias("lab")), keys)
     return g.groupBy(*EP).agg(F.count(F.lit(1)).alias("instants"), F.count_if("gaze").alias("with_gaze"), F.count_if("lab").alias("labelled"))
