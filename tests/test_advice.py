@@ -3,7 +3,7 @@
 import datetime as dt
 import json
 
-from trackspark.operators import grid
+from trackspark.operators import grid, nested
 from trackspark.plans import problems, q_pipelines
 
 SRC = ["dataset", "episode_id"]
@@ -53,3 +53,12 @@ def test_canonical_tables_label_segments_between_whole_seconds(spark, tmp_path):
     spark.createDataFrame([(1, "d", "e", 1.2, 1.6, "c", "t")], "segment_id long, dataset string, episode_id string, start_s double, end_s double, channel string, text string").write.parquet(f"{tmp_path}/segment.parquet")
     (r,) = q_pipelines.canonical_tables(spark, str(tmp_path)).collect()
     assert (r.instants, r.with_gaze, r.labelled) == (20, 19, 4)
+
+
+def test_nested_unwraps_to_the_end_and_takes_the_last_of_equal_keys(spark):
+    deep = '{"a":1}'
+    for _ in range(12):
+        deep = json.dumps(deep)
+    df = spark.createDataFrame([(1, deep), (2, '{"a": 2, "b": {"c": 1, "c": 3}, "a": 4}')], "raw_id long, payload string")
+    got = {r.raw_id: json.loads(r.j) for r in nested.parse(df, "payload").selectExpr("raw_id", "to_json(doc) j").collect()}
+    assert got == {1: {"a": 1}, 2: {"a": 4, "b": {"c": 3}}}

@@ -9,8 +9,8 @@ schema has as many fields as the format, not as the data.
 Payloads stay in the JVM as VARIANT; only schema inference walks them in Python.
 
 Defined results
-* null, empty, incomplete or unreadable payloads, text behind the JSON value, and duplicate keys in
-  one object (ambiguous) give nothing; JSON inside a JSON string is unwrapped up to 8 times;
+* null, empty, incomplete or unreadable payloads and text behind the JSON value give nothing; of
+  duplicate keys in one object the last counts; JSON inside a JSON string is unwrapped to its end;
 * one object in place of a list is a list of one; elements that are no objects keep their position
   but have no row; missing and null levels have no rows;
 * payloads with equal keys are all read: callers deduplicate by record id before.
@@ -26,8 +26,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: How often JSON inside a JSON string is unwrapped. Each wrapping doubles the escapes.
-WRAPS = 8
+#: How often JSON inside a JSON string is unwrapped. Each wrapping doubles the escapes, so that no
+#: string of 2**31 bytes can be wrapped more often.
+WRAPS = 31
 
 
 def fields_of(v: Column) -> Column:
@@ -43,8 +44,9 @@ def as_list(v: Column) -> Column:
 def parse(df: DataFrame, payload: str, out: str = "doc") -> DataFrame:
     """Add the payload as VARIANT; rows without readable, complete JSON are dropped."""
     bare = F.regexp_replace(F.col(payload), "^[\\uFEFF\\s]+", "")
-    peel = lambda s, _: F.when(s.startswith('"'), F.try_variant_get(F.try_parse_json(s), "$", "string")).otherwise(s)
-    text = F.aggregate(F.sequence(F.lit(1), F.lit(WRAPS)), bare, lambda s, i: F.regexp_replace(peel(s, i), "^[\\uFEFF\\s]+", ""))
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # the last one wins
+    peel = lambda s, _: F.when(s.startswith('"'), F.regexp_replace(F.try_variant_get(F.try_parse_json(s), "$", "string"), "^[\\uFEFF\\s]+", "")).otherwise(s)
+    text = F.aggregate(F.sequence(F.lit(1), F.lit(WRAPS)), bare, peel)
     # parsed inside brackets: what follows the value would break the list
     boxed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), F.col("__text"), F.lit("]"))), "$", "array<variant>")
     parsed = df.withColumn("__text", text).withColumn("__box", boxed).filter("size(__box) = 1")
