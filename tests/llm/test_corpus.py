@@ -3,6 +3,8 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from trackspark.llm import mixing, packing
 from trackspark.llm.tokens import encoding, token_counts, RANKS
 
@@ -73,16 +75,59 @@ def test_allocation_caps_and_spreads():
 def test_mix_reaches_sizes(spark):
     rnd = random.Random(5)
     rows = [(i, rnd.choice(["a", "a", "a", "b", "c", "d", None]), rnd.choice([0, None, rnd.randint(1, 40)])) for i in range(6000)]
+    rows += [(7000, "b", 26_000), (7001, "e", 900), (7002, "e", 500), (7003, "e", 300)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "id long, source string, n long, q string")
-    targets = [("a", 0.1, 1), ("b", 0.6, 3), ("c", 0.3, 4), ("zzz", 0.1, 2)]
+    targets = [("a", 0.1, 1), ("b", 0.5, 3), ("c", 0.3, 4), ("zzz", 0.1, 2), ("e", 0.012, 2)]
     drawn, found = mixing.mix(df, targets)
     got = drawn.collect()
-    size = defaultdict(int)
+    size, hits = defaultdict(int), {}
     for r in got:
-        assert 1 <= r.copies <= {"a": 1, "b": 3, "c": 4}[r.source] and r.n > 0
+        assert 1 <= r.copies <= {"a": 1, "b": 3, "c": 4, "e": 2}[r.source] and r.n > 0
         size[r.source] += r.n * r.copies
-    for s, (_, want) in found.items():
-        assert abs(size[s] - want) <= 41
+        hits[r.id] = r.copies
+    assert len(hits) == len(got)
+    for s, (have, want) in found.items():
+        if not have:
+            continue
+        sure = int(want // have)
+        open_ = [n for i, src, n in rows if src == s and n and n > 0 and hits.get(i, 0) == sure]
+        assert size[s] <= want + 1e-6
+        assert want - size[s] < min(open_, default=1) or size[s] == have * {"a": 1, "b": 3, "c": 4, "e": 2}[s]
     assert found["zzz"] == (0, 0.0)
     assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, got))
     assert mixing.mix(df.limit(0), targets)[0].count() == 0
+
+
+def test_inclusion_takes_certainties_out(spark):
+    df = spark.createDataFrame([("a", 100, 1), ("a", 10, 20), ("a", 1, 50), ("b", 5, 4)], "source string, n long, k long")
+    got = mixing.inclusion(df, {"a": 150.0, "b": 7.0, "none": 0.0})
+    for s, rest in (("a", 150.0), ("b", 7.0)):
+        scale, open_ = got[s]
+        sizes = [(r.n, r.k) for r in df.collect() if r.source == s]
+        assert abs(sum(min(1.0, scale * n) * n * k for n, k in sizes) - rest) < 1e-9
+        assert abs(open_ - (rest - sum(n * k for n, k in sizes if scale * n >= 1))) < 1e-9
+    assert set(got) == {"a", "b"}
+
+
+def test_sample_draws_by_inclusion_probability(spark):
+    rows = [(i, "s", 1 + i % 7) for i in range(140)]
+    df = spark.createDataFrame(rows, "id long, source string, n long").cache()
+    drawn, rounds = defaultdict(int), 25
+    for seed in range(rounds):
+        for r in mixing.sample(df, {"s": 170.0}, seed).filter("hit").collect():
+            drawn[r.n] += 1
+    scale = 170.0 / sum(n * n for _, _, n in rows)
+    for n in range(2, 8):
+        assert abs(drawn[n] / (20 * rounds) - scale * n) < 0.09
+    assert drawn[7] > 2 * drawn[2]
+
+
+def test_no_range_of_ranks_holds_a_source(spark):
+    n = 20_000
+    df = spark.range(n).select(F.col("id"), F.lit("s").alias("source"), (F.pow(F.lit(1000.0), F.rand(3))).cast("long").alias("n"))
+    total = df.agg(F.sum("n")).first()[0]
+    for share in (1e-4, 0.3, 0.9):
+        scale, _ = mixing.inclusion(df.groupBy("source", "n").agg(F.count(F.lit(1)).alias("k")), {"s": total * share})["s"]
+        pi, u = F.least(F.col("n") * scale, F.lit(1.0)), mixing.unit(1, "id")
+        ranges = df.filter(pi < 1).select(F.floor((F.log(u / (1 - u)) - F.log(pi / (1 - pi))) * mixing.FINE).alias("r"))
+        assert ranges.groupBy("r").count().agg(F.max("count")).first()[0] <= 4 * n / (4 * mixing.FINE) + 10
