@@ -36,6 +36,27 @@ def test_what_is_no_prose():
     assert _n("x" * 300_000) == 0
 
 
+def test_a_notice_counts_where_it_is_one():
+    n, long = len(SENT.split()), (SENT + ".\n") * 6
+    assert _n("The chart below was generated by the class in May.\n" + long) == 6 * n + 10
+    assert _n(long + "The chart was generated by the class.\n") == 6 * n + 7
+    assert _n("def f():\n    pass\n\n# " + SENT + "\n\n# do not edit below this line\n") == n
+    header = "".join(f"// line {k} of a header that is long\n" for k in range(90))
+    assert _n(header + "// Code generated by x. DO NOT EDIT.\npackage a\n// " + SENT) == 0
+    assert _n("/*\nlong header\nAuto-generated by x\n*/\n// " + SENT) == 0
+    assert _n("See https://example.org/" + "a" * 60 + " for more. " + SENT + ".") == n + 3
+    assert _n("x" * 50) == 0 and _n("AB3CD9 ef81 " * 30) == 0
+
+
+def test_legal_blocks_leave_other_blocks_alone():
+    n = len(SENT.split())
+    legal = "Permission is granted to all holders of a copy, and the warranty terms of this licence shall apply to it."
+    other = "The name of the work is kept as it was in each of the parts of it that are sent on."
+    assert _n("# " + legal + "\n\n# " + SENT + "\n") == n
+    assert _n((legal + "\n\n") * 3 + other) == 0
+    assert _n((legal + "\n\n") * 3 + "x = f(3);\n" + (SENT + ". ") * 2) == 2 * n
+
+
 EASY = "cat dog ball hat red sun run sit".split()
 MID = "server request folder pattern session option record column".split()
 HARD = "epistemological reconciliation notwithstanding heterogeneity idempotency ambiguity asymptotic commutative".split()

@@ -3,7 +3,12 @@
 Pure functions over one text, called in Arrow batches. A line is prose if, apart from comment
 marks and bullets, it holds words and ordinary punctuation only; code, tables and data do not look
 like that whatever the file is called. Neighbouring prose lines form a block, and blocks that are
-legal notices, in another language or too short to be running text are left out.
+legal notices, in another language or too short to be running text are left out. Each block is
+judged by its own words, wherever it lies and however long the text is.
+
+A file is generated if a comment before its first other line says so, however long that comment is;
+elsewhere only the comment line with such a notice is no prose, and in a page's sentence the words
+mean nothing special.
 """
 
 from __future__ import annotations
@@ -19,12 +24,14 @@ _PLAIN = re.compile(r"[^{}\[\]=<>|\\$@^~%_]*")
 _CODEY = re.compile(r"[A-Za-z]\w*\(|[a-z]\.[a-z]\w|;\s*$|^\S+(?:\s\S+){0,2}:\s*$|^\S+:\s+\S+\s*$")
 _STATEMENT = re.compile(r"(?:return|import|from|except|raise|yield|assert|package|use|using|include|else|elif|insert into|select|left join|where|group by|create)\b")
 _ITEM = re.compile(r"\d{1,3}[.)][ \t]+")
-#: No word is this long; keys and digests are.
-_LONG = re.compile(r"\S{40}")
+#: No word is this long; keys, digests and links are, and count as a stop inside their line.
+_LONG = re.compile(r"\S{40,}")
 _TAG = re.compile(r"<(style|script|title|h\d)\b[^>]*>.*?(?:</\1>|$)|<[^<>\n]*>", re.S | re.I)
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+# letters next to digits are names and keys
+_WORD = re.compile(r"(?<!\w)[^\W\d_]+(?:['’][^\W\d_]+)*(?!\w)")
 _QUOTED = re.compile(r"`[^`\n]*`|\(see [^()\n]*\)")
 _GENERATED = re.compile(r"auto-?generated|code generated|generated by|do not edit", re.I)
+_COMMENT = re.compile(r"[ \t]*(?://|#|/\*|\*|--|<!--|;|%)")
 _EDGE = " \t/*#-!>;'\"“‘("
 # stems that in one block make it a legal notice, two different ones at least
 _LEGAL = re.compile(r"\b(licen[cs]|terms?\b|warrant|permission|copyright|liab|redistribut|recipient|endors|grant|holders\b|shall\b|notice\b|maintainers\b|spdx|rights?\b)", re.I)
@@ -40,6 +47,26 @@ _OTHER = frozenset(
 ) - frozenset("no an in on me so more plus".split())
 
 
+def generated(text: str) -> bool:
+    """True if a comment at the head of a file, before any other line, says that a program wrote it."""
+    at, inside = 0, False
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        mark = _COMMENT.match(text, at, end)
+        if mark or inside:
+            if _GENERATED.search(text, at, end):
+                return True
+            if mark and mark[0].lstrip() in ("/*", "<!--"):
+                inside = True
+            if text.find("*/", at, end) >= 0 or text.find("-->", at, end) >= 0:
+                inside = False
+        elif text[at:end].strip():
+            return False
+        at = end + 1
+    return False
+
+
 def _runs(text: str) -> list[list[str]]:
     """Runs of neighbouring prose paragraphs; only blank lines lie between those of one run."""
     runs: list[list[str]] = []
@@ -55,8 +82,10 @@ def _runs(text: str) -> list[list[str]]:
             continue
         if s[0].isdigit() and (m := _ITEM.match(s)):
             s = s[m.end() :]
+        if len(s) >= 40 and _LONG.search(s):
+            s = _LONG.sub(" ", s).lstrip(_EDGE)
         good = (s[:1].isalpha() or para) and plain(s)
-        if good and not (_LONG.search(s) or _CODEY.search(s) or (len(s) < 60 and _STATEMENT.match(s))):
+        if good and not (_CODEY.search(s) or (len(s) < 60 and _STATEMENT.match(s)) or (_COMMENT.match(line) and _GENERATED.search(s))):
             if line[:1] == "#" and para and line[:2] == "##":
                 run.append(" ".join(para))
                 para = []
@@ -77,7 +106,7 @@ def _runs(text: str) -> list[list[str]]:
 
 def blocks(text: str) -> list[list[str]]:
     """Lower-case words of each paragraph of English prose."""
-    if not text or _GENERATED.search(text, 0, 400):
+    if not text or generated(text):
         return []
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
@@ -86,15 +115,15 @@ def blocks(text: str) -> list[list[str]]:
     if "`" in text or "(see " in text:
         text = _QUOTED.sub("", text)
     found: list[list[str]] = []
-    legal_words = 0
     for run in _runs(text):
-        mine, size = [], 0
+        mine, size, legal, notices = [], 0, 0, 0
         for body in run:
             words = [w.lower() for w in _WORD.findall(body)]
             if len(words) < 3 or sum(map(len, words)) < 0.72 * (len(body) - body.count(" ")):
                 continue
             if len({m.lower() for m in _LEGAL.findall(body)}) >= 2:
-                legal_words += len(words)
+                legal += len(words)
+                notices += 1
                 continue
             en = sum(w in _EN for w in words)
             foreign = sum(w in _OTHER or not w.isascii() for w in words)
@@ -102,10 +131,9 @@ def blocks(text: str) -> list[list[str]]:
                 continue
             mine.append(words)
             size += len(words)
-        if size >= LEAST_RUN:
+        # one legal paragraph is a notice; the other clauses of a run of several are no prose either
+        if size >= LEAST_RUN and (size >= legal or notices < 2):
             found += mine
-    if legal_words > sum(map(len, found)) and legal_words >= 60:
-        return []  # a licence text; its other clauses are no prose either
     return found
 
 

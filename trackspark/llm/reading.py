@@ -2,10 +2,11 @@
 
 Method: graded texts (documents with a rated band) tell at which grade a word is acquired: the
 expected band of a word under its rate in each band. A document's level is predicted from quantiles
-of the grades of its known words, calibrated on the graded texts by a linear discriminant.
+of the grades of its known words, calibrated on the graded texts by a linear discriminant. Grades used
+to calibrate a text come from the other texts only.
 
 The model is fitted on a bounded sample: ``SAMPLE`` graded documents by hash order. Everything else
-runs over all documents in one pass; only the word table (at most ``VOCABULARY`` words) travels.
+runs over all documents in one pass; only the words of the sample's texts travel.
 
 Defined results
 * fewer than ``LEAST`` words of English prose: no row; null and empty texts have none;
@@ -29,8 +30,10 @@ BANDS = ("elementary", "secondary", "advanced")
 LEAST = 40
 #: Largest number of graded documents used to fit.
 SAMPLE = 4000
-#: Largest number of graded words.
-VOCABULARY = 50_000
+#: Graded documents a word needs for a grade, at every size.
+SUPPORT = 2
+#: Parts of the graded documents, each calibrated with word grades of the others.
+FOLDS = 5
 #: Quantiles of a document's word grades.
 QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
 
@@ -52,19 +55,36 @@ def features(words: list[str], grades: dict[str, float]) -> list[float] | None:
     return [known[min(int(q * n), n - 1)] for q in QUANTILES] + [sum(known) / n]
 
 
-def word_grades(d: DataFrame, least_docs: int | None = None) -> dict[str, float]:
-    """Acquisition grade of each word from graded documents (grade: votes by band, words).
+def word_counts(d: DataFrame) -> tuple[list, list]:
+    """(sizes, rows) from graded documents (fold, grade: votes by band, words).
 
-    Rates are per band, so that a band with many texts pulls no word towards it.
+    ``sizes`` has the votes of each fold by band; a row has a word, its documents of each fold and its
+    votes of each fold by band. Words of fewer than ``SUPPORT`` documents are left out.
     """
-    size = d.agg(*[F.sum(F.col("grade")[b]).alias(f"n{b}") for b in range(len(BANDS))], F.count(F.lit(1)).alias("n")).first()
-    least = least_docs or (2 if (size["n"] or 0) < 300 else 3)
-    per = d.select("grade", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("grade")[b]).alias(f"c{b}") for b in range(len(BANDS))])
-    rows = per.filter(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
-    out = {}
+    cell = lambda f, b: F.sum(F.when(F.col("fold") == f, F.col("grade")[b]).otherwise(F.lit(0.0)))
+    counts = lambda: F.array(*[F.count_if(F.col("fold") == f) for f in range(FOLDS)])
+    votes = lambda: F.array(*[F.array(*[cell(f, b) for b in range(len(BANDS))]) for f in range(FOLDS)])
+    sizes = d.agg(votes().alias("v")).first()["v"]
+    per = d.select("fold", "grade", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(counts().alias("n"), votes().alias("v"))
+    return sizes, per.filter(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x) >= SUPPORT).collect()
+
+
+def word_grades(sizes: list, rows: list, without: int | None = None) -> dict[str, float]:
+    """Acquisition grade of each word; documents of the fold ``without`` do not count.
+
+    Rates are per band, so that a band with many texts pulls no word towards it; a grade with little
+    support is drawn to the middle of the scale.
+    """
+    folds, bands = [f for f in range(FOLDS) if f != without], range(len(BANDS))
+    size = [sum(sizes[f][b] or 0.0 for f in folds) for b in bands]
+    middle, out = (len(BANDS) - 1) / 2, {}
     for r in rows:
-        rate = [(r[f"c{b}"] + 0.05) / (size[f"n{b}"] + 1.0) for b in range(len(BANDS))]
-        out[r.w] = sum(b * x for b, x in enumerate(rate)) / sum(rate)
+        n = sum(r.n[f] for f in folds)
+        if n < SUPPORT:
+            continue
+        rate = [(sum(r.v[f][b] for f in folds) + 0.05) / (size[b] + 1.0) for b in bands]
+        grade = sum(b * x for b, x in enumerate(rate)) / sum(rate)
+        out[r.w] = middle + (grade - middle) * n / (n + 1.0)
     return out
 
 
@@ -94,19 +114,22 @@ def fit(documents: DataFrame, labels: DataFrame):
     sample = share.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     graded = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # SAMPLE rows at most
     words = graded.select("doc_id", "grade", "text").mapInPandas(_sample_words, "doc_id long, grade array<double>, words array<string>")
-    words = durable(words.filter(F.size("words") >= LEAST))
-    grades = word_grades(words)
+    words = durable(words.filter(F.size("words") >= LEAST).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")))
+    counted = word_counts(words)
+    grades = word_grades(*counted)
     if not grades:
         return None
+    # a document's own words must not have graded it: each fold is calibrated with the grades of the others
+    unseen = [word_grades(*counted, without=f) for f in range(FOLDS)]
 
     def feats(it):
         import pandas as pd
 
         for pdf in it:
-            x = [features(list(w), grades) for w in pdf["words"]]
+            x = [features(list(w), unseen[f]) for w, f in zip(pdf["words"], pdf["fold"])]
             yield pd.DataFrame({"grade": pdf["grade"], "x": x})
 
-    rows = [(list(r.x), list(r.grade)) for r in words.mapInPandas(feats, "grade array<double>, x array<double>").collect() if r.x is not None]
+    rows = [(list(r.x), list(r.grade)) for r in words.mapInPandas(feats, "grade array<double>, x array<double>").collect() if r.x is not None]  # SAMPLE rows at most
     lda = calibrate([x for x, _ in rows], [g for _, g in rows])
     if lda is None:
         return None
