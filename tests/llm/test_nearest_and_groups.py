@@ -70,14 +70,34 @@ def test_assign_keeps_groups_and_ratios(spark):
     rnd = random.Random(6)
     rows = [(g, lab, rnd.randint(1, 4)) for g in range(3000) for lab in rnd.sample(["a", "b", None], rnd.randint(1, 2))] + [(9000, "a", 900), (9001, "b", 300)]
     df = spark.createDataFrame(rows, "group_id long, label string, n long")
-    out = assign(df, [("train", 70.0), ("val", 15.0), ("test", 15.0)], 42)
-    got = {r.group_id: r.subset for r in out.collect()}
-    assert len(got) == 3002 and out.count() == 3002
+    out = assign(df, {5: (42, [("train", 70.0), ("val", 15.0), ("test", 15.0)]), 6: (1, [("x", 1.0), ("y", 1.0)])})
+    assert out.count() == 2 * 3002
+    got = {r.group_id: r.subset for r in out.filter("request = 5").collect()}
+    assert len(got) == 3002
     total = sum(n for *_, n in rows)
     for s, q in (("train", 0.7), ("val", 0.15), ("test", 0.15)):
-        assert abs(sum(n for g, _, n in rows if got[g] == s) / total - q) < 0.01
+        assert abs(sum(n for g, _, n in rows if got[g] == s) / total - q) < 0.001
         for lab in ("a", "b", None):
             mine = [(g, n) for g, x, n in rows if x == lab]
-            assert abs(sum(n for g, n in mine if got[g] == s) / sum(n for _, n in mine) - q) < 0.06
-    assert assign(df, [("x", 0.0), ("y", None)], 1).count() == 0
-    assert {r.subset for r in assign(df, [("x", 0.0), ("y", 2.0)], 1).collect()} == {"y"}
+            assert abs(sum(n for g, n in mine if got[g] == s) / sum(n for _, n in mine) - q) < 0.003
+    assert assign(df, {1: (1, [("x", 0.0), ("y", None)])}).count() == 0
+    assert assign(df.limit(0), {1: (1, [("x", 1.0)])}).count() == 0
+    assert {r.subset for r in assign(df, {1: (1, [("x", 0.0), ("y", 2.0)])}).collect()} == {"y"}
+
+
+def test_assign_few_recording_sized_groups(spark):
+    rnd = random.Random(7)
+    rows = [(g, rnd.choice("abc"), rnd.randint(1, 9)) for g in range(90)] + [(100, "a", 37), (101, "b", 25)]
+    df = spark.createDataFrame(rows, "group_id long, label string, n long")
+    got = {r.group_id: r.subset for r in assign(df, {1: (3, [("train", 0.6), ("val", 0.1), ("test", 0.1)])}).collect()}
+    for lab in "abc":
+        total = sum(n for _, x, n in rows if x == lab)
+        for s, q in (("train", 0.75), ("val", 0.125), ("test", 0.125)):
+            assert abs(sum(n for g, x, n in rows if x == lab and got[g] == s) - q * total) <= 1.5
+
+
+def test_hot_entities_and_primaries_are_spread(spark):
+    rows = [(i, "hot" if i % 3 else f"s{i}", ["everyone"] if i % 2 else None) for i in range(1, 3000)] + [(5000 + i, f"t{i}", [f"c{i}", f"c{i + 1}"]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, p string, es array<string>")
+    got = {r.id: r.group_id for r in components(df, "id", F.col("p"), F.col("es")).collect()}
+    assert got == _brute(rows)
