@@ -43,4 +43,7 @@ def durable(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # a checkpointed frame keeps constraints and size estimates of the plan before, which multiply in every round of a loop
+    rows = spark._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False)
+    return DataFrame(rows, spark)
