@@ -17,20 +17,24 @@ def _one(spark, *cols):
 
 
 def test_time_units(spark):
-    got = _one(spark, TM.to_seconds(F.lit("1500"), "ms"), TM.to_seconds(F.lit(" 2e6 "), "us"), TM.to_seconds(F.lit("x"), "ms"), TM.to_seconds(F.lit(""), "s"), TM.to_seconds(F.lit("30"), "frame", 15), TM.hms(F.lit("01:02:03.5")), TM.hms(F.lit("02:03.5")), TM.hms(F.lit("a:b")), TM.timecode(F.lit("00:00:01:12"), 24), TM.to_seconds(F.lit("10000000"), "ticks_100ns"))
+    got = _one(spark, TM.to_seconds(F.lit("1500"), "ms"), TM.to_seconds(F.lit(" 2e6 "), "us"), TM.to_seconds(F.lit("x"), "ms"), TM.to_seconds(F.lit(""), "s"), TM.to_seconds(F.lit("30"), "frame_index", 15), TM.hms(F.lit("01:02:03.5")), TM.hms(F.lit("02:03.5")), TM.hms(F.lit("a:b")), TM.timecode(F.lit("00:00:01:12"), 24), TM.to_seconds(F.lit("10000000"), "filetime_100ns"))
     assert got == [1.5, 2.0, None, None, 2.0, 3723.5, 123.5, None, 1.5, 1.0]
     got = _one(spark, TM.guess_seconds(F.lit("2000000"), "time"), TM.guess_seconds(F.lit("5"), "time_ms"), TM.guess_seconds(F.lit("3e12"), "t"), TM.guess_seconds(F.lit("12.5"), "t"), TM.frame_rate(F.lit("30000/1001")), TM.frame_rate(F.lit("1/0")), TM.frame_rate(F.lit("25")))
     assert got[:4] == [2000.0, 0.005, 3000.0, 12.5] and abs(got[4] - 29.97002997) < 1e-6 and got[5:] == [None, 25.0]
-    assert _one(spark, TM.align(F.lit(5.0), "subtract_first", first=F.lit(2.0)), TM.align(F.lit(5.0), "subtract_clip_start", clip_start=F.lit(None).cast("double"))) == [3.0, None]
-    with pytest.raises(ValueError):
-        TM.to_seconds(F.lit("1"), "weeks")
+    assert _one(spark, TM.align(F.lit(5.0), "subtract_first_gaze", first=F.lit(2.0)), TM.align(F.lit(5.0), "subtract_clip_start", clip_start=F.lit(None).cast("double"))) == [3.0, None]
+    for bad in (lambda: TM.to_seconds(F.lit("1"), "weeks"), lambda: TM.align(F.lit(1.0), "subtract_first_gaze"), lambda: TM.align(F.lit(1.0), "subtract_const"), lambda: TM.align(F.lit(1.0), "mp4_to_vrs_csv")):
+        with pytest.raises(ValueError):
+            bad()
+    assert _one(spark, TM.guess_seconds(F.lit("2e12"), "time_ms"), TM.guess_seconds(F.lit("5"), "t_Nanoseconds")) == [2000.0, 5e-9]
+    one = "OP01-R01-Salad-1500-2000-F36-F48"
+    assert _one(spark, TM.clip_start(F.lit(one)), TM.clip_start(F.lit("x")), TM.frame_range(F.lit(one))["last"], TM.frame_range(F.lit("x"))) == [1.5, None, 48, None]
 
 
 def test_predicates_are_two_valued(spark):
-    rows = [("ego", True, 3.0, None), (None, None, None, "x"), ("false", False, 0.0, "")]
-    df = spark.createDataFrame(rows, "view string, flag boolean, n double, extra string")
+    rows = [("ego", True, 3.0, None, (1,), {"k": "v"}, [4, 5]), (None, None, None, "x", None, None, None), ("false", False, 0.0, "", (2,), {}, [])]
+    df = spark.createDataFrame(rows, "view string, flag boolean, n double, extra string, s struct<a:int>, m map<string,string>, l array<int>")
     types = dict(df.dtypes)
-    want = {"view == 'ego'": [1, 0, 0], "view != ego": [0, 1, 1], "flag == true": [1, 0, 0], "flag == false": [0, 1, 1], "view == true": [1, 0, 1], "n >= 0": [1, 0, 1], "n > abc": [0, 0, 0], "n == 3": [1, 0, 0], "missing == none": [1, 1, 1], "missing != none": [0, 0, 0], "extra == null": [1, 0, 0], "": [1, 1, 1]}
+    want = {"view == 'ego'": [1, 0, 0], "view != ego": [0, 1, 1], "flag == true": [1, 0, 0], "flag == false": [0, 1, 1], "view == true": [1, 0, 1], "n >= 0": [1, 0, 1], "n > abc": [0, 0, 0], "n == 3": [1, 0, 0], "s.a == 1": [1, 0, 0], "m.k == v": [1, 0, 0], "l.1 == 5": [1, 0, 0], "s.q == null": [1, 1, 1], "l == true": [1, 0, 0], "missing == none": [1, 1, 1], "missing != none": [0, 0, 0], "extra == null": [1, 0, 0], "": [1, 1, 1]}
     for p, expect in want.items():
         assert [int(r[0]) for r in df.select(predicate(p, types)).collect()] == expect, p
     assert [literal(x) for x in ("'a b'", "true", "null", "3", "2.5", "word")] == ["a b", True, None, 3, 2.5, "word"]
@@ -67,7 +71,11 @@ def test_geometry(spark):
 def test_close_and_names(spark):
     nan, null = F.lit(float("nan")), F.lit(None).cast("double")
     assert _one(spark, close(nan, nan, 0.1), close(null, null, 0.1), close(null, F.lit(1.0), 0.1), close(F.lit(1.0), F.lit(1.05), 0.1), close(F.lit(1.0), nan, 0.1), close(F.lit("a"), F.lit("a"), None)) == [True, True, False, True, False, True]
-    assert _one(spark, catalog.modality(F.lit("a/eye_track.csv")), catalog.modality(F.lit("x/notes.bin")), catalog.file_format(F.lit("A.MP4")), catalog.dataset_name(F.lit(" Ego_Exo 4D! ")), catalog.suffix(F.lit("a.csv.gz"))) == ["gaze", "other", "video", "ego-exo-4d", "csv.gz"]
+    assert _one(spark, catalog.modality(F.lit("a/eye_track.csv")), catalog.modality(F.lit("x/notes.bin")), catalog.file_format(F.lit("A.MP4")), catalog.dataset_name(F.lit(" Ego_Exo 4D! ")), catalog.suffix(F.lit("a.csv.gz"))) == ["gaze", "other", "video", "ego_exo4d", "gz"]
+    names = lambda *c: F.array(*[F.lit(x) for x in c])
+    assert _one(spark, catalog.dataset_name(F.lit("EGTEA Gaze+")), catalog.dataset_name(F.lit("Ego4D")), catalog.suffix(F.lit("a.TAR.GZ")), catalog.modality(F.lit("a/take_point_cloud/x.csv")), catalog.modality(F.lit("q/film.vrs"))) == ["egtea", "ego-exo4d", "tgz", "depth", "video"]
+    assert _one(spark, catalog.gaze_form(names("x_norm", "y_norm")), catalog.gaze_form(names("left_yaw")), catalog.gaze_form(names("q")), catalog.annotation_form(names("start_s")), catalog.annotation_form(names("verb")), catalog.annotation_form(names("q"))) == ["normalized_2d", "angular", None, "interval", "event_or_label", None]
+    assert [catalog.asked_modality(m) for m in ("Text annotations", "Depth", "smell")] == ["annotation", "depth", "other"]
 
 
 def test_config_and_recipe():
@@ -81,9 +89,10 @@ def test_config_and_recipe():
     assert config.split_uri("s3://b/k/x") == ("b", "k/x") and config.mounted("s3://b/k", {"b": "/mnt/b"}) == "/mnt/b/k"
     with pytest.raises(ValueError):
         config.ratios("a=0")
-    good = {"dataset": "d", "gaze": {"reader": "csv", "channels": {"x": "x"}, "time": "us", "units": "us"}, "annotations": [{"name": "fine", "start": "s", "end": "e"}]}
-    r = recipe.compile_recipe(good, {"final_text": "coarse_fine"})
-    assert r.final_text == "coarse_fine" and r.drivers() == ["fine"] and r.track.units == "us"
-    bad = {**good, "gaze": {"reader": "nope", "channels": {}}, "annotations": [{"name": "p", "kind": "point", "role": "context"}, {"name": "p"}]}
+    good = {"dataset": "d", "gaze": {"gaze_format": {"reader": "csv", "columns": {"x": "x"}, "time": {"source": "us", "units": "us"}}}, "annotations": [{"name": "fine", "time": {"start": "s", "end": "e"}}]}
+    r = recipe.compile_recipe(good, {"annotation_bundle": {"policy": "holoassist_coarse_fine"}})
+    assert r.final_text == "holoassist_coarse_fine" and r.drivers() == ["fine"] and r.track.units == "us"
+    bad = {**good, "gaze": {"gaze_format": {"reader": "nope", "columns": {}, "time": {"units": "frame_index"}}}, "annotations": [{"name": "p", "kind": "point", "clip_role": "context"}, {"name": "p", "clip_role": "context"}], "epoch_sync": {"gaze": {"transform": "subtract_const"}}}
     found = recipe.problems(bad)
-    assert any("reader" in p for p in found) and any("twice" in p for p in found) and any("point" in p for p in found)
+    for word in ("reader", "twice", "point", "fps", "no driver", "const_s", "time.start"):
+        assert any(word in p for p in found), word

@@ -92,7 +92,7 @@ def test_catalogue(spark, tmp_path):
     assert [(r.member, r.bytes) for r in catalog.archive_members(spark, str(tmp_path / "x.zip")).collect()] == [("in/a.txt", 5)]
     (tmp_path / "d.md").write_text("# Set One\n[a](https://h/x/a.zip?k=1)\ntext\n## Set-Two\nhttps://h/b.mp4 https://h/c.mp4\n")
     got = [(r.dataset, r.filename) for r in catalog.markdown_catalog(spark, str(tmp_path / "d.md")).collect()]
-    assert got == [("set-one", "a.zip"), ("set-two", "b.mp4"), ("set-two", "c.mp4")]
+    assert got == [("setone", "a.zip"), ("set-two", "b.mp4"), ("set-two", "c.mp4")]
     d = catalog.digests(spark, str(root / "seq1" / "gaze.csv")).first()
     import hashlib
 

@@ -38,12 +38,12 @@ def watch(spark: SparkSession, root: str, expected: DataFrame, **how: Any) -> bo
 
 def plan_downloads(assets: DataFrame, datasets: list[str] | None = None, modalities: list[str] | None = None, sequences: list[str] | None = None) -> DataFrame:
     """Assets of the wanted datasets, modalities and sequences, with the path they get; names without regard to case and signs."""
-    name = lambda v: "-".join("".join(c if c.isalnum() else " " for c in v.lower()).split())
     a = assets
     if datasets:
-        a = a.filter(catalog.dataset_name(F.col("dataset")).isin([name(d) for d in datasets]))
+        wanted = [r[0] for r in assets.sparkSession.createDataFrame([(d,) for d in datasets], "d string").select(catalog.dataset_name(F.col("d"))).collect()]  # the names given
+        a = a.filter(catalog.dataset_name(F.col("dataset")).isin(wanted))
     if modalities:
-        a = a.filter(F.lower("modality").isin([m.lower() for m in modalities]))
+        a = a.filter(F.when(F.lower("modality") == "annotations", "annotation").otherwise(F.lower("modality")).isin([catalog.asked_modality(m) for m in modalities]))
     if sequences:
         a = a.filter(F.lower(F.trim("sequence_id")).isin([s.strip().lower() for s in sequences]))
     return a.withColumn("target", F.concat_ws("/", "dataset", "sequence_id", "modality", "filename"))

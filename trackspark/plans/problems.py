@@ -224,8 +224,12 @@ SELECT dataset, episode_id, p + 1 AS slot_from, slot - 1 AS slot_to FROM lags WH
     "p1_grid": f"""WITH {_USABLE}, one AS (SELECT dataset, episode_id, slot, grid_hz, mg, max_by((t_s, x, y), (t_s, sample_id)) m FROM usable GROUP BY ALL),
 nb AS (SELECT dataset, episode_id, slot, grid_hz, mg, m[1] t, m[2] x, m[3] y, lag(slot) OVER w p, lag(m[1]) OVER w pt, lag(m[2]) OVER w px, lag(m[3]) OVER w py FROM one WINDOW w AS (PARTITION BY dataset, episode_id ORDER BY slot)),
 g AS (SELECT *, unnest(generate_series(coalesce(p + 1, 0), slot)) g FROM nb),
-st AS (SELECT *, CASE WHEN g = slot THEN 'sample' WHEN p IS NULL THEN 'before' WHEN (slot - p - 1) / grid_hz > 900 THEN 'stop' WHEN t - pt <= mg THEN 'filled' ELSE 'missing' END state, (g / grid_hz - pt) / (t - pt) f FROM g)
-SELECT dataset, episode_id, g AS slot, round(g / grid_hz, 6) AS time_s, round(CASE state WHEN 'sample' THEN x WHEN 'filled' THEN px + (x - px) * f END, 4) AS x, round(CASE state WHEN 'sample' THEN y WHEN 'filled' THEN py + (y - py) * f END, 4) AS y, state IN ('sample', 'filled') AS valid, state FROM st""",
+st AS (SELECT *, CASE WHEN g = slot THEN 'sample' WHEN p IS NULL THEN 'before' WHEN (slot - p - 1) / grid_hz > 900 THEN 'stop' WHEN t - pt <= mg THEN 'filled' ELSE 'missing' END state, (g / grid_hz - pt) / (t - pt) f FROM g),
+seen AS (SELECT dataset, episode_id, duration_s t FROM episode UNION ALL SELECT dataset, episode_id, t_s FROM latest),
+ends AS (SELECT s.dataset, s.episode_id, r.grid_hz, coalesce(CAST(floor(max(s.t) FILTER (s.t >= 0 AND NOT isnan(s.t) AND NOT isinf(s.t)) * r.grid_hz) AS BIGINT), 0) e FROM seen s JOIN recipe r ON s.dataset = r.dataset WHERE r.grid_hz > 0 GROUP BY ALL),
+tails AS (SELECT e.dataset, e.episode_id, e.grid_hz, unnest(generate_series(coalesce(u.m + 1, 0), e.e)) g FROM ends e LEFT JOIN (SELECT dataset, episode_id, max(slot) m FROM usable GROUP BY 1, 2) u ON e.dataset = u.dataset AND e.episode_id IS NOT DISTINCT FROM u.episode_id)
+SELECT dataset, episode_id, g AS slot, round(g / grid_hz, 6) AS time_s, round(CASE state WHEN 'sample' THEN x WHEN 'filled' THEN px + (x - px) * f END, 4) AS x, round(CASE state WHEN 'sample' THEN y WHEN 'filled' THEN py + (y - py) * f END, 4) AS y, state IN ('sample', 'filled') AS valid, state FROM st
+UNION ALL SELECT dataset, episode_id, g, round(g / grid_hz, 6), NULL, NULL, false, 'missing' FROM tails""",
     "p3_found": f"""WITH {_FLAT} SELECT raw_id, take_key, group_key, CAST(item_no AS BIGINT) AS item_no, CAST(-1 AS BIGINT) AS child_no FROM item UNION ALL
 SELECT raw_id, take_key, group_key, CAST(item_no AS BIGINT), CAST(child_no AS BIGINT) FROM rev WHERE json_type(v) = 'OBJECT'""",
     "p4_found": f"""WITH {_MERGED} SELECT dataset, episode_id, channel, 'period' AS what, s AS start_ms, e AS end_ms FROM per UNION ALL

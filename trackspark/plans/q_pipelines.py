@@ -113,6 +113,6 @@ m AS (SELECT ep, interesting AND NOT (ep % 2 = 1 AND k = max(k) OVER (PARTITION
     "stream_first_ids": "SELECT DISTINCT asset_id, dataset, asset_key FROM asset",
     "canonical_tables": """WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY arrived_at DESC NULLS LAST) rn FROM gaze_sample) WHERE rn = 1), u AS (SELECT dataset, episode_id, t_s t FROM l WHERE valid AND t_s >= 0 AND NOT isnan(t_s) AND NOT isinf(t_s) AND x IS NOT NULL AND NOT isnan(x) AND y IS NOT NULL AND NOT isnan(y)),
 s AS (SELECT DISTINCT dataset, episode_id, segment_id, start_s, end_s, channel FROM segment WHERE end_s > start_s), d AS (SELECT dataset, episode_id, max(t) dur FROM (SELECT * FROM u UNION ALL SELECT dataset, episode_id, end_s FROM s) GROUP BY 1, 2),
-g AS (SELECT dataset, episode_id, unnest(generate_series(0, CAST(floor(dur + 1e-9) AS BIGINT))) i, CAST(floor(dur + 1e-9) AS BIGINT) n FROM d), r AS (SELECT dataset, episode_id, min(t) lo, max(t) hi FROM u GROUP BY 1, 2)
+k AS (SELECT dataset, episode_id, unnest(generate_series(0, CAST(floor((dur + 1e-9) * 10) AS BIGINT))) k, CAST(floor((dur + 1e-9) * 10) AS BIGINT) m FROM d), g AS (SELECT dataset, episode_id, round(k / 10.0, 9) i, round(m / 10.0, 9) n FROM k), r AS (SELECT dataset, episode_id, min(t) lo, max(t) hi FROM u GROUP BY 1, 2)
 SELECT g.dataset, g.episode_id, count(*) AS instants, count(*) FILTER (r.lo <= g.i AND g.i <= r.hi) AS with_gaze, count(*) FILTER (EXISTS (SELECT 1 FROM s WHERE s.dataset = g.dataset AND s.episode_id = g.episode_id AND s.start_s <= g.i AND (g.i < s.end_s OR (g.i = g.n AND g.i <= s.end_s)) AND s.channel <> '')) AS labelled FROM g LEFT JOIN r ON g.dataset = r.dataset AND g.episode_id = r.episode_id GROUP BY 1, 2""",
 }

@@ -266,7 +266,7 @@ def time_units(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "episode").filter("duration_s IS NOT NULL AND NOT isnan(duration_s)").select(*EP, F.round(F.col("duration_s") * 1000).cast("long").alias("ms")).distinct()
     c = lambda k: (F.col("ms") * k).cast("string")
     clock = F.concat_ws(":", (F.col("ms") / 3_600_000).cast("long").cast("string"), (F.col("ms") / 60_000 % 60).cast("long").cast("string"), F.concat_ws(".", (F.col("ms") / 1000 % 60).cast("long").cast("string"), F.lpad((F.col("ms") % 1000).cast("string"), 3, "0")))
-    units = {"from_ms": TM.to_seconds(F.col("ms").cast("string"), "ms"), "from_us": TM.to_seconds(c(1000), "us"), "from_ns": TM.to_seconds(c(1_000_000), "ns"), "from_ticks": TM.to_seconds(c(10_000), "ticks_100ns"), "from_frames": TM.to_seconds(F.col("ms").cast("string"), "frame", 1000), "from_clock": TM.to_seconds(clock, "hms"), "guess": TM.guess_seconds(c(1_000_000), "t_ns")}
+    units = {"from_ms": TM.to_seconds(F.col("ms").cast("string"), "ms"), "from_us": TM.to_seconds(c(1000), "us"), "from_ns": TM.to_seconds(c(1_000_000), "ns"), "from_ticks": TM.to_seconds(c(10_000), "filetime_100ns"), "from_frames": TM.to_seconds(F.col("ms").cast("string"), "frame_index", 1000), "from_clock": TM.to_seconds(clock, "hms_decimal"), "guess": TM.guess_seconds(c(1_000_000), "t_ns")}
     return e.select(*EP, "ms", *[F.round(v, 3).alias(k) for k, v in units.items()])
 
 
@@ -344,10 +344,6 @@ _VER = re.sub(r"same\((\w+), (\w+), ([\de-]+)\)", r"(CASE WHEN \1 IS NULL OR \2
 _BOX = f"least({SIDE} / CAST(r.width AS DOUBLE), {SIDE} / CAST(r.height AS DOUBLE))"
 
 
-def _word_case(column: str, rules: tuple, form: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '{form.format(words)}') THEN '{name}'" for name, words in rules) + " ELSE 'other' END"
-
-
 ORACLES = {
     "letterbox_bins": f"""WITH {_LATEST}, b AS (SELECT sample_id, x, y, r.width w, r.height h, {_BOX} k FROM us JOIN recipe r ON us.dataset = r.dataset), p AS (SELECT *, ({SIDE} - w * k) / 2 ox, ({SIDE} - h * k) / 2 oy FROM b), q AS (SELECT *, ox + x * k px, oy + y * k py FROM p)
 SELECT sample_id, CAST(round_even(greatest(0.0, least(1.0, px / {SIDE})) * 1000, 0) AS INT) AS x_bin, CAST(round_even(greatest(0.0, least(1.0, py / {SIDE})) * 1000, 0) AS INT) AS y_bin,
@@ -368,7 +364,7 @@ j AS (SELECT e.dataset, e.episode_id, concat_ws('; ', CASE WHEN NOT coalesce(e.d
     "asset_summary": "SELECT dataset, modality, count(*) AS assets, count(DISTINCT sequence_id) AS sequences, CAST(sum(coalesce(size_bytes, 0)) AS BIGINT) AS bytes, count(*) FILTER (size_bytes IS NULL) AS unknown, round(sum(coalesce(size_bytes, 0)) / 1e9, 3) AS gb FROM (SELECT DISTINCT asset_id, dataset, modality, sequence_id, size_bytes FROM asset) GROUP BY ROLLUP (dataset, modality)",
     "sequence_profile": f"WITH {_SEQ} SELECT dataset, sequence, count(DISTINCT asset_id) AS assets, coalesce(string_agg(DISTINCT modality, ',' ORDER BY modality), '') AS modalities, max(size_bytes) AS largest FROM aset GROUP BY 1, 2",
     "asset_status": """WITH a AS (SELECT DISTINCT url, asset_id, size_bytes, sha1, listed_at FROM asset WHERE url IS NOT NULL), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY listed_at, asset_id) k FROM a) WHERE k = 1), l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY listed_at DESC, asset_id DESC) k FROM a WHERE size_bytes > 0) WHERE k = 1),
-r AS (SELECT f.url path, CASE WHEN l.url IS NULL THEN 'missing' WHEN f.url LIKE '%.part' THEN 'partial' WHEN f.size_bytes IS NOT NULL AND f.size_bytes <> l.size_bytes THEN 'size' WHEN f.sha1 IS NOT NULL AND l.sha1 IS NOT NULL AND lower(f.sha1) <> lower(l.sha1) THEN 'sha1' ELSE 'ok' END reason FROM f LEFT JOIN l ON f.url = l.url) SELECT path, reason = 'ok' AS complete, reason FROM r""",
+r AS (SELECT f.url path, CASE WHEN l.url IS NULL THEN 'missing' WHEN f.size_bytes IS NOT NULL AND f.size_bytes <> l.size_bytes THEN 'size' WHEN f.url LIKE '%.part' THEN 'partial' WHEN f.sha1 IS NOT NULL AND l.sha1 IS NOT NULL AND lower(f.sha1) <> lower(l.sha1) THEN 'sha1' ELSE 'ok' END reason FROM f LEFT JOIN l ON f.url = l.url) SELECT path, reason = 'ok' AS complete, reason FROM r""",
     "pick_file": f"WITH {_SEQ}, r AS (SELECT dataset, sequence, modality, filename, coalesce(size_bytes, -1) size, CASE WHEN filename LIKE '%.json' THEN 2 WHEN regexp_matches(filename, '\\.(csv|txt|npy)$') THEN 1 ELSE 0 END rank FROM aset WHERE filename IS NOT NULL) SELECT dataset, sequence, modality, filename, size AS size_bytes FROM (SELECT *, row_number() OVER (PARTITION BY dataset, sequence, modality ORDER BY rank DESC, size DESC, filename DESC) k FROM r) WHERE k = 1",
     "pick_prefer": f"WITH {_SEQ}, r AS (SELECT dataset, sequence, filename, url, CASE WHEN filename = 'video_0.mp4' THEN 0 WHEN filename LIKE '%.mp4' THEN 1 ELSE 2 END o FROM aset) SELECT dataset, sequence, CASE WHEN o < 2 THEN url ELSE replace(replace('store://default/{{dataset}}/{{sequence}}.mp4', '{{dataset}}', dataset), '{{sequence}}', sequence) END AS url FROM (SELECT *, row_number() OVER (PARTITION BY dataset, sequence ORDER BY o, filename NULLS FIRST, url NULLS FIRST) k FROM r) WHERE k = 1",
     "join_manifests": f"WITH {_MAN}, u AS (SELECT *, 0 s FROM man WHERE lang IN ('markdown', 'rst') UNION ALL SELECT *, 1 FROM man WHERE dataset IN ('mono-mirror', 'doc-site', 'plugin-hub')) SELECT id, dataset, video, s AS source_ord FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s, ord) k FROM u WHERE error IS NULL AND coalesce(id, '') <> '') WHERE k = 1",
@@ -391,8 +387,13 @@ SELECT dataset, count(*) AS n, round(CAST(sum(CAST(l2 AS DECIMAL(20, 4))) AS DOU
     "url_basename": "SELECT asset_id, regexp_extract(split_part(url, '?', 1), '[^/]*$') AS name FROM (SELECT DISTINCT asset_id, url FROM asset)",
     "id_parts": f"WITH {_MAN} SELECT ord, CASE WHEN contains(id, ':') THEN split_part(id, ':', 1) ELSE 'unknown' END AS dataset, replace(replace(id, '/', '__'), ':', '_') AS name FROM man",
     "time_units": "SELECT DISTINCT dataset, episode_id, ms, " + ", ".join(f"round(ms / CAST(1000 AS DOUBLE), 3) AS {u}" for u in ("from_ms", "from_us", "from_ns", "from_ticks", "from_frames", "from_clock", "guess")) + " FROM (SELECT dataset, episode_id, CAST(round(duration_s * 1000) AS BIGINT) ms FROM episode WHERE duration_s IS NOT NULL AND NOT isnan(duration_s))",
-    "modality_infer": f"SELECT DISTINCT asset_id, {_word_case('lower(filename)', catalog.MODALITY, '{}')} AS modality, {_word_case('regexp_extract(lower(filename), ' + repr(chr(92) + '.([a-z0-9]+)$') + ', 1)', catalog.FORMATS, '^(?:{})$')} AS format FROM asset WHERE filename IS NOT NULL".replace("\\\\", "\\"),
-    "name_normalise": "SELECT doc_id, regexp_replace(regexp_replace(lower(trim(repo)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS name FROM documents",
+    "modality_infer": r"""WITH a AS (SELECT DISTINCT asset_id, lower(filename) f, CASE WHEN lower(filename) LIKE '%.tar.gz' THEN 'tgz' ELSE regexp_extract(lower(filename), '\.([a-z0-9]+)$', 1) END s FROM asset WHERE filename IS NOT NULL),
+k AS (SELECT *, CASE WHEN s IN ('mp4', 'mov', 'mkv', 'avi', 'webm', 'vrs') THEN 'video' WHEN s IN ('csv', 'jsonl', 'parquet') THEN 'table' WHEN s = 'json' THEN 'json' WHEN s IN ('zip', 'tar', 'tgz', 'gz', 'bz2', 'xz') THEN 'archive' ELSE 'binary' END format FROM a)
+SELECT asset_id, CASE WHEN f LIKE '%gaze%' OR f LIKE '%eye%' OR f LIKE '%etdata%' THEN 'gaze' WHEN f LIKE '%annot%' OR f LIKE '%narration%' OR f LIKE '%action%' OR f LIKE '%label%' OR f LIKE '%ground\_truth%' ESCAPE '\' THEN 'annotation'
+ WHEN f LIKE '%depth%' OR f LIKE '%point\_cloud%' ESCAPE '\' OR f LIKE '%semidense%' THEN 'depth' WHEN f LIKE '%pose%' OR f LIKE '%hand%' OR f LIKE '%motion%' OR f LIKE '%mvnx%' OR f LIKE '%slam\_trajectories%' ESCAPE '\' THEN 'pose'
+ WHEN format = 'video' OR f LIKE '%video%' OR f LIKE '%rgb%' OR f LIKE '%preview%' OR f LIKE '%takes%' THEN 'video' ELSE 'other' END AS modality, format FROM k""",
+    "name_normalise": """WITH a(k, v) AS (VALUES ('ariaeverydayactivities', 'aea'), ('aria_everyday_activities', 'aea'), ('hot3daria', 'hot3d'), ('ariadigitaltwin', 'adt'), ('aria_digital_twin', 'adt'), ('aria digital twin', 'adt'), ('egtea gaze+', 'egtea'), ('ego4d', 'ego-exo4d')),
+n AS (SELECT doc_id, lower(trim(repo)) s, regexp_replace(lower(repo), '[^a-z0-9+_-]+', '', 'g') c FROM documents) SELECT doc_id, coalesce(x.v, y.v, c) AS name FROM n LEFT JOIN a x ON n.s = x.k LEFT JOIN a y ON n.c = y.k""",
     "glob_exclude": "SELECT DISTINCT dataset, episode_id FROM episode WHERE episode_id IS NULL OR NOT (episode_id GLOB '*loft*' OR episode_id GLOB 'P1?-*' OR episode_id GLOB 'z000000[0-4]*')",
     "manifest_filter": f"WITH {_EPS} SELECT dataset, episode_id FROM eps WHERE dataset IN ('egome', 'egtea', 'hd-epic') AND list_has_all(coalesce(modalities, []), ['gaze', 'annotations'])",
     "rating_verdict": "WITH r AS (SELECT doc_id, band, count(*) n FROM (SELECT DISTINCT doc_id, rater, band FROM reading_label) GROUP BY 1, 2), b AS (SELECT doc_id, arg_max(band, (n, band)) band, CAST(sum(n) AS BIGINT) votes FROM r GROUP BY 1) SELECT d.doc_id, coalesce(b.band, 'unrated') AS band, coalesce(b.votes, 0) AS votes FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id",

@@ -14,10 +14,10 @@ from trackspark.functions.time import guess_seconds
 from trackspark.operators import asof, intervals
 
 KEYS = ["dataset", "episode_id"]
-# fixed values: names under which exports carry time
-TIME_NAMES = ("time_s", "t_s", "timestamp_s", "time", "timestamp", "timestamp_ms", "time_ms", "timestamp_ns", "time_ns")
-START_NAMES = ("start_s", "start_time", "start", "start_ms", "t_start")
-END_NAMES = ("end_s", "end_time", "end", "stop", "end_ms", "t_end")
+# fixed values: names under which exports carry time, in order
+TIME_NAMES = ("time_s", "timestamp_s", "timestamp_ns", "timestamp_ms", "timestamp", "time", "t", "video_time_s")
+START_NAMES = ("start_s", "start_time_s", "start_time_ns", "start_time_ms", "start_time", "start", "start_timestamp")
+END_NAMES = ("end_s", "end_time_s", "end_time_ns", "end_time_ms", "end_time", "end", "end_timestamp")
 
 
 def first_present(df: DataFrame, names: tuple[str, ...]) -> Column:
