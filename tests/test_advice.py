@@ -40,7 +40,7 @@ def test_p3_tables_point_to_their_parents_and_carry_all_fields(spark, tmp_path):
     assert all(len(ids[n]) == len(t) for n, t in rows.items())
     for child, parent in (("p3_groups", "p3_takes"), ("p3_items", "p3_groups"), ("p3_revisions", "p3_items")):
         assert rows[child] and {r.parent_id for r in rows[child]} <= ids[parent]
-    got = {n: {(r.take_key, r.group_key if n != "p3_takes" else None): r.fields for r in t} for n, t in rows.items()}
+    got = {n: {(r.take_key, r.group_key if n != "p3_takes" else None): dict(x.split("=", 1) for x in r.fields.split("\n") if x) for r in t} for n, t in rows.items()}
     assert got["p3_takes"] == {("t", None): {}, ("u", None): {"": "null"}, ("v", None): {"subject": '"s"', "coarse": "[]"}, ("w", None): {"task_name": '"n"', "video_name": '"w"'}}
     assert got["p3_groups"] == {("t", "0"): {"rejected": "true", "annotator_id": '"a"'}, ("t", "1"): {}, ("v", "fine"): {}, ("w", "events"): {}}
     assert got["p3_items"] == {("t", "1"): {"text": '"x"', "unsure": "false"}, ("v", "fine"): {"label": "3", "attributes/Noun": '"cup"', "attributes/a~1b": "[1]"}, ("w", "events"): {"id": "0"}}

@@ -96,9 +96,13 @@ def root(df: DataFrame, value: str, ids: list[str]) -> DataFrame:
     return df.select(*ids, F.array().cast("array<string>").alias("path"), F.lit(None).cast("string").alias("parent_id"), F.col("position").cast("long").alias("position"), F.array(F.col("position").cast("long")).alias("trail"), sid.alias("row_id"), "fields")
 
 
-def child(level: DataFrame, ids: list[str]) -> DataFrame:
-    """The next level: every field that holds objects, its objects with position and parent."""
-    e = level.select(*ids, "path", "trail", "row_id", F.explode("fields").alias("name", "value"))
+def child(level: DataFrame, ids: list[str], names: list[str] | None = None) -> DataFrame:
+    """The next level: every field that holds objects, its objects with position and parent.
+
+    ``names`` tells which fields may; without it all are looked into.
+    """
+    fields = F.col("fields") if names is None else F.map_filter("fields", lambda k, v: k.isin(names))
+    e = level.select(*ids, "path", "trail", "row_id", F.explode(fields).alias("name", "value"))
     e = e.select(*ids, F.concat("path", F.array("name")).alias("path"), "trail", F.col("row_id").alias("parent_id"), F.posexplode(as_list(F.col("value"))).alias("position", "element"))
     e = e.withColumn("fields", fields_of(F.col("element"))).filter("fields IS NOT NULL")
     sid = F.md5(F.concat_ws("/", "parent_id", F.element_at("path", -1), F.col("position").cast("string")))
@@ -168,13 +172,18 @@ def infer(df: DataFrame, value: str, group: str) -> DataFrame:
     return counted.groupBy("g", "path", "kind").agg(F.sum("n").alias("n")).withColumnRenamed("g", group)
 
 
-def levels(df: DataFrame, value: str, ids: list[str], schema: DataFrame | None = None) -> list[DataFrame]:
-    """All levels of objects, depth by depth, as deep as the merged schema goes."""
+def levels(df: DataFrame, value: str, ids: list[str], schema: DataFrame | None = None, most: int | None = None) -> list[DataFrame]:
+    """The levels of objects, depth by depth, as the merged schema names them; ``most`` of them if given.
+
+    A level of the schema without rows in some payload gives no row there; a depth that no schema path
+    reaches ends the list.
+    """
     schema = infer(df, value, ids[0]) if schema is None else schema
-    depth = schema.filter("kind = 'object'").agg(F.max(F.size("path"))).first()[0]
-    if depth is None:
-        return []
-    out = [root(df, value, ids)]
-    for _ in range(depth):
-        out.append(child(out[-1], ids))
+    paths = [list(r.path) for r in schema.filter("kind = 'object'").select("path").distinct().collect()]  # fields of the format, not data
+    out: list[DataFrame] = []
+    for depth in range(max(map(len, paths), default=-1) + 1):
+        if most is not None and depth == most:
+            break
+        names = sorted({p[-1] for p in paths if len(p) == depth and p})
+        out.append(root(df, value, ids) if depth == 0 else child(out[-1], ids, names))
     return out

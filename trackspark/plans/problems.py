@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackspark.operators import grid, nested, periods
 from trackspark.operators.dedupe import latest
-from trackspark.session import table
+from trackspark.session import durable, table
 
 SOURCE = ["dataset", "episode_id"]
 #: Levels of a group that hold items; where none is named, every level of objects does.
@@ -47,7 +47,7 @@ def p1_episodes(spark: SparkSession, d: str) -> DataFrame:
 def _takes(spark: SparkSession, d: str) -> DataFrame:
     recipe = {r.dataset: r.select_path for r in table(spark, d, "recipe").filter("select_path IS NOT NULL").select("dataset", "select_path").collect()}
     raw = latest(table(spark, d, "raw_annotation").select("raw_id", "dataset", "payload", "arrived_at"), "raw_id", "arrived_at")
-    return nested.takes(raw, recipe, ["raw_id"])
+    return durable(nested.takes(raw, recipe, ["raw_id"]))  # parsed once, read by every level
 
 
 TAKE = ["dataset", "raw_id", "top_no", "take_key"]
@@ -79,7 +79,7 @@ def _levels(paths: dict[str, tuple]) -> tuple[Callable[[Column], Column], Column
 def _items(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups, items, revisions), each pointing to its parent by ``parent_id``."""
     t = _takes(spark, d)
-    deep = nested.levels(t, "take", TAKE)
+    deep = nested.levels(t, "take", TAKE, most=3)
     if not deep:
         none = t.select(*TAKE).filter("false").selectExpr(*TAKE, "'' parent_id", "'' row_id", "'' group_key", "0L group_no", "'' level", "0L item_no", "0L child_no", "CAST(NULL AS MAP<STRING, VARIANT>) fields")
         return none, none, none
@@ -110,6 +110,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return item.withColumn("child_no", F.lit(-1).cast("long")).select(*cols).unionByName(rev.select(*cols))
 
 
+def _text_of(fields: Column) -> Column:
+    """All fields as lines "path=JSON text" in the order of their paths."""
+    return F.array_join(F.array_sort(F.transform(F.map_entries(fields), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), "\n")
+
+
 def _text(*names: str):
     return F.coalesce(*[F.try_variant_get(F.col("fields")[n], "$", "string") for n in names])
 
@@ -121,22 +126,22 @@ def _num(*names: str):
 def p3_takes(spark: SparkSession, d: str) -> DataFrame:
     """Takes with their key as ``row_id`` and the fields that are no group of their own.
 
-    A take that is no object has its JSON under the path "", unless it is the list of its groups.
+    A field is a line "path=JSON text". A take that is no object has its JSON under the path "", unless it is the list of its groups.
     """
     is_level, by_position = _levels(_paths(spark, d))
     own = nested.fields_of(F.col("take"))
     listed = by_position & F.try_variant_get(F.col("take"), "$", "array<variant>").isNotNull()
     none = F.expr("CAST(map() AS MAP<STRING, STRING>)")
     fields = F.when(listed | (by_position & own.isNotNull()), none).when(own.isNotNull(), nested.flat(own, is_level)).otherwise(F.create_map(F.lit(""), F.to_json("take")))
-    t = _takes(spark, d).select(*TAKE, _take_id().alias("row_id"), fields.alias("fields"))
-    return t.groupBy(*TAKE, "row_id").agg(F.count(F.lit(1)).alias("n"), F.any_value("fields").alias("fields"))
+    t = _takes(spark, d).select(*TAKE, _take_id().alias("row_id"), _text_of(fields).alias("fields"))
+    return t.groupBy(*TAKE, "row_id").agg(F.count(F.lit(1)).alias("n"), F.min("fields").alias("fields"))
 
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     """Passes and levels, with items or without: parent key, position and all other fields."""
     group, _, _ = _items(spark, d)
     is_level, _ = _levels(_paths(spark, d))
-    return group.select(*TAKE, "parent_id", "row_id", "group_key", "group_no", nested.flat(F.col("fields"), is_level).alias("fields"))
+    return group.select(*TAKE, "parent_id", "row_id", "group_key", "group_no", _text_of(nested.flat(F.col("fields"), is_level)).alias("fields"))
 
 
 def p3_items(spark: SparkSession, d: str) -> DataFrame:
@@ -148,13 +153,13 @@ def p3_items(spark: SparkSession, d: str) -> DataFrame:
         F.coalesce(_text("text", "Step description"), F.try_variant_get(F.col("fields")["attributes"], "$['Action sentence']", "string"), F.try_variant_get(F.col("fields")["attributes"], "$['Long form description']", "string")).alias("text"),
         F.coalesce(_num("timestamp", "video_time", "start"), F.get(span, F.lit(0)).try_cast("double")).alias("start_s"),
         F.coalesce(_num("end"), F.get(span, F.lit(1)).try_cast("double")).alias("end_s"),
-        nested.flat(F.col("fields"), lambda k: k == "revisions").alias("fields"),
+        _text_of(nested.flat(F.col("fields"), lambda k: k == "revisions")).alias("fields"),
     )
 
 
 def p3_revisions(spark: SparkSession, d: str) -> DataFrame:
     _, _, rev = _items(spark, d)
-    return rev.select(*TAKE, "parent_id", "row_id", "group_key", "item_no", "child_no", _text("by").alias("by"), _text("text").alias("text"), nested.flat(F.col("fields")).alias("fields"))
+    return rev.select(*TAKE, "parent_id", "row_id", "group_key", "item_no", "child_no", _text("by").alias("by"), _text("text").alias("text"), _text_of(nested.flat(F.col("fields"))).alias("fields"))
 
 
 def p3_schema(spark: SparkSession, d: str) -> DataFrame:
@@ -226,7 +231,8 @@ nb AS (SELECT dataset, episode_id, slot, grid_hz, mg, m[1] t, m[2] x, m[3] y, la
 g AS (SELECT *, unnest(generate_series(coalesce(p + 1, 0), slot)) g FROM nb),
 st AS (SELECT *, CASE WHEN g = slot THEN 'sample' WHEN p IS NULL THEN 'before' WHEN (slot - p - 1) / grid_hz > 900 THEN 'stop' WHEN t - pt <= mg THEN 'filled' ELSE 'missing' END state, (g / grid_hz - pt) / (t - pt) f FROM g),
 seen AS (SELECT dataset, episode_id, duration_s t FROM episode UNION ALL SELECT dataset, episode_id, t_s FROM latest),
-ends AS (SELECT s.dataset, s.episode_id, r.grid_hz, coalesce(CAST(floor(max(s.t) FILTER (s.t >= 0 AND NOT isnan(s.t) AND NOT isinf(s.t)) * r.grid_hz) AS BIGINT), 0) e FROM seen s JOIN recipe r ON s.dataset = r.dataset WHERE r.grid_hz > 0 GROUP BY ALL),
+furthest AS (SELECT dataset, episode_id, max(t) FILTER (t >= 0 AND NOT isnan(t) AND NOT isinf(t)) t FROM seen GROUP BY 1, 2),
+ends AS (SELECT s.dataset, s.episode_id, r.grid_hz, coalesce(CAST(floor(s.t * r.grid_hz) AS BIGINT), 0) e FROM furthest s JOIN recipe r ON s.dataset = r.dataset WHERE r.grid_hz > 0),
 tails AS (SELECT e.dataset, e.episode_id, e.grid_hz, unnest(generate_series(coalesce(u.m + 1, 0), e.e)) g FROM ends e LEFT JOIN (SELECT dataset, episode_id, max(slot) m FROM usable GROUP BY 1, 2) u ON e.dataset = u.dataset AND e.episode_id IS NOT DISTINCT FROM u.episode_id)
 SELECT dataset, episode_id, g AS slot, round(g / grid_hz, 6) AS time_s, round(CASE state WHEN 'sample' THEN x WHEN 'filled' THEN px + (x - px) * f END, 4) AS x, round(CASE state WHEN 'sample' THEN y WHEN 'filled' THEN py + (y - py) * f END, 4) AS y, state IN ('sample', 'filled') AS valid, state FROM st
 UNION ALL SELECT dataset, episode_id, g, round(g / grid_hz, 6), NULL, NULL, false, 'missing' FROM tails""",
@@ -238,6 +244,54 @@ SELECT dataset, episode_id, channel, CASE WHEN s - f <= coalesce(short, 0) THEN
 }
 ORACLES["p1_episodes"] = f"""WITH g AS ({ORACLES["p1_grid"]}), n AS (SELECT dataset, episode_id, count(*) "rows", count(*) FILTER (state = 'sample') "sample", count(*) FILTER (state = 'filled') filled, count(*) FILTER (state = 'missing') missing, count(*) FILTER (state = 'stop') stop,
  count(*) FILTER (state = 'before') "before", max(time_s) last_s FROM g GROUP BY 1, 2) SELECT n.*, r.grid_hz AS hz, round((n."sample" + n.filled) / n."rows", 6) AS valid FROM n JOIN recipe r ON n.dataset = r.dataset"""
-ORACLES["p3_takes"] = f"""WITH {_FLAT}, n AS (SELECT raw_id, dataset, unnest(l) p, generate_subscripts(l, 1) - 1 k FROM (SELECT raw_id, dataset, CASE json_type(p) WHEN 'ARRAY' THEN json_extract(p, '$[*]') ELSE [p] END l FROM docs)),
-t AS (SELECT dataset, raw_id, k, e.key take_key FROM n, json_each(n.p, '$.annotations') e WHERE json_type(n.p, '$.annotations') = 'OBJECT' AND dataset IN ('ego-exo4d', 'egome') UNION ALL SELECT dataset, raw_id, k, p->>'$.video_name' FROM n WHERE dataset = 'holoassist' AND json_type(p) = 'OBJECT')
-SELECT dataset, raw_id, CAST(k AS INT) AS top_no, take_key, count(*) AS n FROM t GROUP BY 1, 2, 3, 4"""
+
+
+# a number with nothing behind its point is the whole number
+_NUMBERS = r"regexp_replace(CAST({0} AS VARCHAR), '(\d)\.0+([,\]}}]|$)', '\1\2', 'g')"
+
+
+def _flat_sql(source: str, skipped: str) -> str:
+    """SQL for (id, fields) of (id, dataset, v): lines of an object's fields, ``skipped`` tells which are levels."""
+    esc = "replace(replace({}, '~', '~0'), '/', '~1')"
+    key, inner = esc.format("f.key"), esc.format("i.key")
+    return f"""SELECT id, string_agg(line, chr(10) ORDER BY line) fields FROM (
+ SELECT s.id, {key} || coalesce('/' || {inner}, '') || '=' || {_NUMBERS.format("coalesce(i.value, f.value)")} line FROM {source} s, json_each(s.v) f
+ LEFT JOIN LATERAL (SELECT * FROM json_each(CASE json_type(f.value) WHEN 'OBJECT' THEN f.value ELSE '{{}}'::JSON END)) i ON true WHERE NOT coalesce({skipped}, false)) GROUP BY 1"""
+
+
+_HOLDS = "(json_type(f.value) = 'OBJECT' OR (json_type(f.value) = 'ARRAY' AND len(list_filter(json_extract(f.value, '$[*]'), lambda x: json_type(x) = 'OBJECT')) > 0))"
+_TREE = f"""{_FLAT}, n AS (SELECT raw_id, dataset, unnest(l) p, CAST(generate_subscripts(l, 1) - 1 AS INT) k FROM (SELECT raw_id, dataset, CASE json_type(p) WHEN 'ARRAY' THEN json_extract(p, '$[*]') ELSE [p] END l FROM docs)),
+t AS (SELECT dataset, raw_id, k, e.key take_key, e.value take FROM n, json_each(n.p, '$.annotations') e WHERE json_type(n.p, '$.annotations') = 'OBJECT' AND dataset IN ('ego-exo4d', 'egome')
+ UNION ALL SELECT dataset, raw_id, k, p->>'$.video_name', p FROM n WHERE dataset = 'holoassist' AND json_type(p) = 'OBJECT'),
+tk AS (SELECT *, md5(concat_ws('/', coalesce(dataset, chr(0)), raw_id, k, coalesce(take_key, chr(0)))) id FROM t),
+tf AS ({_flat_sql("(SELECT id, dataset, take v FROM tk WHERE dataset <> 'ego-exo4d' AND json_type(take) = 'OBJECT')", f"(s.dataset = 'egome' OR f.key = 'events') AND {_HOLDS}")}),
+top AS (SELECT * FROM (SELECT tk.* EXCLUDE (take, id, l), id take_id, unnest(l) v, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) no FROM (SELECT *, CASE json_type(take) WHEN 'ARRAY' THEN json_extract(take, '$[*]') ELSE [take] END l FROM tk) tk) WHERE json_type(v) = 'OBJECT'),
+root AS (SELECT *, md5(concat_ws('/', coalesce(dataset, chr(0)), raw_id, k, coalesce(take_key, chr(0)), no)) id FROM top),
+lev2 AS (SELECT r.* EXCLUDE (v), f.key lev, f.value v, {_HOLDS} holds FROM root r, json_each(r.v) f WHERE CASE r.dataset WHEN 'ego-exo4d' THEN f.key IN ('descriptions', 'commentary_data') WHEN 'egome' THEN true ELSE f.key = 'events' END),
+elem2 AS (SELECT * EXCLUDE (v, l), unnest(l) v, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) item_no FROM (SELECT *, CASE json_type(v) WHEN 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END l FROM lev2)),
+it AS (SELECT *, CASE dataset WHEN 'ego-exo4d' THEN id ELSE md5(id || '/' || lev) END parent_id, md5(concat_ws('/', id, lev, item_no)) item_id, CASE dataset WHEN 'ego-exo4d' THEN CAST(no AS VARCHAR) ELSE lev END group_key FROM elem2 WHERE json_type(v) = 'OBJECT'),
+itf AS ({_flat_sql("(SELECT item_id id, dataset, v FROM it)", f"f.key = 'revisions' AND {_HOLDS}")}),
+rl AS (SELECT * EXCLUDE (v), json_extract(v, '$.revisions') v FROM it WHERE json_extract(v, '$.revisions') IS NOT NULL),
+rv AS (SELECT * FROM (SELECT * EXCLUDE (v, l), unnest(l) v, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) child_no FROM (SELECT *, CASE json_type(v) WHEN 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END l FROM rl)) WHERE json_type(v) = 'OBJECT'),
+rvf AS ({_flat_sql("(SELECT md5(concat_ws('/', item_id, 'revisions', child_no)) id, dataset, v FROM rv)", "false")})"""
+ORACLES["p3_takes"] = f"""WITH {_TREE} SELECT dataset, raw_id, k AS top_no, take_key, tk.id AS row_id, count(*) AS n,
+ min(CASE WHEN dataset = 'ego-exo4d' AND json_type(take) IN ('ARRAY', 'OBJECT') THEN '' WHEN json_type(take) = 'OBJECT' THEN coalesce(tf.fields, '') ELSE '=' || {_NUMBERS.format('take')} END) AS fields FROM tk LEFT JOIN tf ON tk.id = tf.id GROUP BY ALL"""
+ORACLES["p3_groups"] = f"""WITH {_TREE}, gf AS ({_flat_sql("(SELECT id, dataset, v FROM root WHERE dataset = 'ego-exo4d')", f"f.key IN ('descriptions', 'commentary_data') AND {_HOLDS}")})
+SELECT dataset, raw_id, k AS top_no, take_key, take_id AS parent_id, r.id AS row_id, CAST(no AS VARCHAR) AS group_key, no AS group_no, coalesce(gf.fields, '') AS fields FROM root r LEFT JOIN gf ON r.id = gf.id WHERE dataset = 'ego-exo4d'
+UNION ALL SELECT dataset, raw_id, k, take_key, take_id, md5(id || '/' || lev), lev, no, '' FROM lev2 WHERE dataset <> 'ego-exo4d' AND holds"""
+ORACLES["p3_items"] = f"""WITH {_TREE} SELECT dataset, raw_id, k AS top_no, take_key, parent_id, item_id AS row_id, group_key, lev AS level, item_no,
+ coalesce(v->>'$.text', v->>'$."Step description"', v->>'$.attributes."Action sentence"', v->>'$.attributes."Long form description"') AS text,
+ coalesce(try_cast(v->>'$.timestamp' AS DOUBLE), try_cast(v->>'$.video_time' AS DOUBLE), try_cast(v->>'$.start' AS DOUBLE), try_cast(v->>'$."Step timestamp"[0]' AS DOUBLE)) AS start_s,
+ coalesce(try_cast(v->>'$.end' AS DOUBLE), try_cast(v->>'$."Step timestamp"[1]' AS DOUBLE)) AS end_s, coalesce(itf.fields, '') AS fields FROM it LEFT JOIN itf ON it.item_id = itf.id"""
+ORACLES["p3_revisions"] = f"""WITH {_TREE} SELECT dataset, raw_id, k AS top_no, take_key, item_id AS parent_id, rvf.id AS row_id, group_key, item_no, child_no, v->>'$.by' AS "by", v->>'$.text' AS text, coalesce(rvf.fields, '') AS fields
+FROM rv LEFT JOIN rvf ON md5(concat_ws('/', item_id, 'revisions', child_no)) = rvf.id"""
+_KIND = "CASE json_type({0}) WHEN 'OBJECT' THEN 'single' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DOUBLE' THEN CASE WHEN CAST({0} AS DOUBLE) = floor(CAST({0} AS DOUBLE)) THEN 'bigint' ELSE 'double' END WHEN 'VARCHAR' THEN 'string' ELSE 'bigint' END"
+ORACLES["p3_schema"] = f"""WITH RECURSIVE {_TREE},
+walk(dataset, path, v, what) AS (SELECT dataset, '', take, 'value' FROM tk
+ UNION ALL SELECT w.dataset, CASE WHEN x.key IS NULL THEN w.path ELSE w.path || CASE w.path WHEN '' THEN '' ELSE '/' END || x.key END, x.v, CASE WHEN x.key IS NULL THEN 'element' ELSE 'field' END
+ FROM walk w, LATERAL (SELECT e.key, e.value v FROM json_each(CASE json_type(w.v) WHEN 'OBJECT' THEN w.v ELSE '{{}}'::JSON END) e
+  UNION ALL SELECT NULL, unnest(CASE json_type(w.v) WHEN 'ARRAY' THEN json_extract(w.v, '$[*]') ELSE []::JSON[] END)) x WHERE NOT (x.key IS NULL AND json_type(x.v) = 'ARRAY')),
+kinds AS (SELECT dataset, path, 'object' kind FROM walk WHERE json_type(v) = 'OBJECT'
+ UNION ALL SELECT dataset, path, {_KIND.format('v')} FROM walk WHERE what = 'field'
+ UNION ALL SELECT dataset, path, 'element:' || {_KIND.format('v')} FROM walk WHERE what = 'element' AND json_type(v) <> 'OBJECT')
+SELECT dataset, path, kind, count(*) AS n FROM kinds GROUP BY ALL"""
