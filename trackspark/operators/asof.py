@@ -1,6 +1,6 @@
 """As-of joins: the neighbours in time of each probe, nearest neighbour, interpolation.
 
-Both sides are cut into time shards per source; inside a shard two ordered passes find the
+Both sides are cut into time shards per source; inside a shard one ordered pass finds both
 neighbours, and prefix scans over one summary row per shard carry those that lie in other shards.
 Sources without a partner keep their probes. Keys and times are not null; readings at one instant
 are represented by the first in file order.
@@ -8,24 +8,32 @@ are represented by the first in file order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.operators.scan import prefix_scan
 
 
 def bracket(probes: DataFrame, readings: DataFrame, keys: list[str], t: str, cols: list[str], length: float) -> DataFrame:
-    """Probes with ``prev`` (last reading at or before) and ``next`` (first after), structs of t, ord, cols."""
-    r = readings.groupBy(*keys, t).agg(F.min(F.struct("ord", *cols)).alias("r"))
-    r = r.select(*keys, t, F.struct(F.col(t).alias("t"), F.col("r.ord").alias("ord"), *[F.col(f"r.{c}").alias(c) for c in cols]).alias("r"))
+    """Probes with ``prev`` (last reading at or before) and ``next`` (first after), structs of t, ord, cols.
+
+    Rows are shuffled once, by source and shard, and both neighbours come from one sort; the summary of
+    a shard is aggregated before its shuffle.
+    """
+    r = readings.select(*keys, t, F.struct(F.col(t).alias("t"), "ord", *cols).alias("r"))
     left = probes.select(*keys, t, F.struct(*probes.columns).alias("__l"))
     u = left.withColumn("r", F.lit(None)).unionByName(r.withColumn("__l", F.lit(None)))
-    u = u.withColumn("__shard", F.floor(F.col(t) / F.lit(length)).cast("long")).withColumn("__side", F.col("__l").isNotNull())
     part = [*keys, "__shard"]
-    past = Window.partitionBy(*part).orderBy(t, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    future = Window.partitionBy(*part).orderBy(F.desc(t), F.desc("__side")).rowsBetween(Window.unboundedPreceding, 0)
-    near = u.withColumn("__p", F.last("r", ignorenulls=True).over(past)).withColumn("__n", F.last("r", ignorenulls=True).over(future)).filter("__side")
-    ends = u.groupBy(*part).agg(F.min("r").alias("first"), F.max("r").alias("last"))
+    u = u.withColumn("__shard", F.floor(F.col(t) / F.lit(length)).cast("long"))
+    # at one instant readings come first, in file order; only the first of them counts
+    u = u.withColumn("__side", F.col("__l").isNotNull()).withColumn("__ord", F.col("r.ord"))
+    by = ", ".join(f"`{c}`" for c in part)
+    over = f"OVER (PARTITION BY {by} ORDER BY `{t}`, __side, __ord)"
+    u = u.withColumn("__one", F.expr(f"CASE WHEN NOT __side AND NOT coalesce(lag(`{t}`) {over} = `{t}`, false) THEN r END"))
+    past = f"OVER (PARTITION BY {by} ORDER BY `{t}`, __side, __ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    near = u.withColumn("__p", F.expr(f"last(__one) IGNORE NULLS {past}")).withColumn("__n", F.expr(f"lead(__one) IGNORE NULLS {over}")).filter("__side")
+    time = F.when(~F.col("__side"), F.col(t))
+    ends = u.groupBy(*part).agg(F.min_by("r", F.when(time.isNotNull(), F.struct(time, "__ord"))).alias("first"), F.max_by("r", F.when(time.isNotNull(), F.struct(time, -F.col("__ord")))).alias("last"))
     ends = prefix_scan(ends, keys, "__shard", "last", "__back")
     ends = prefix_scan(ends, keys, "__shard", "first", "__ahead", reverse=True).select(*part, "__back", "__ahead")
     out = near.join(ends, part)

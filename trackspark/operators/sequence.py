@@ -1,15 +1,18 @@
 """Cutting and packing of spans: hard cuts, hierarchical descent, greedy coalescing, thinning.
 
 Greedy operators reset where their condition cannot hold across two neighbours. Such breaks are
-found by sharded windows, and only the rows between two breaks are folded together.
+found by sharded windows, and only the rows between two breaks are folded together, streamed in order.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.functions.text import numbered
+from trackspark.operators.fold import fold_sorted
 from trackspark.operators.intervals import overlaps, stab
 from trackspark.operators.periods import periods
 from trackspark.operators.sharded import lag_over, last_over
@@ -63,6 +66,25 @@ def _groups(df: DataFrame, keys: list[str], t: str, tie: str, brk: Column, lengt
     return last_over(d, keys, t, tie, F.when(F.col("__brk"), F.struct(F.col(t).alias("t"), F.col(tie).alias("tie"))), "__head", length).drop("__brk")
 
 
+class _Pack:
+    """Greedy packing: rows s, e, text in order; clips s, e, texts come out."""
+
+    def __init__(self, longest: int) -> None:
+        self.longest, self.s, self.e, self.texts = longest, None, None, []
+
+    def row(self, s, e, text):
+        if self.s is not None and e - self.s <= self.longest:
+            self.e = e
+            self.texts.append(text)
+            return ()
+        done = self.end()
+        self.s, self.e, self.texts = s, e, [text]
+        return done
+
+    def end(self):
+        return () if self.s is None else ((self.s, self.e, self.texts),)
+
+
 def coalesce(spans: DataFrame, keys: list[str], longest: int, gap: int, shortest: int, length: float) -> DataFrame:
     """(keys, channel, s, e, n, text): neighbours packed greedily into the longest clips that fit.
 
@@ -74,71 +96,82 @@ def coalesce(spans: DataFrame, keys: list[str], longest: int, gap: int, shortest
     # the end of the clip so far is the end of the row before, if that row was absorbed
     brk = F.col("__before").isNull() | (F.col("__before.channel") != F.col("channel")) | (F.col("s") - F.col("__before.e") > gap)
     d = _groups(d, keys, "s", "ord", brk, length)
-    rows = d.groupBy(*keys, "__head").agg(F.first("channel").alias("channel"), F.sort_array(F.collect_list(F.struct("s", "ord", "e", "text"))).alias("rows"))
-    empty = F.array().cast("array<struct<s:bigint,e:bigint,texts:array<string>>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        cur = acc["cur"]
-        fits = cur.isNotNull() & (x["e"] - cur["s"] <= longest)
-        grown = F.struct(cur["s"].alias("s"), x["e"].alias("e"), F.array_append(cur["texts"], x["text"]).alias("texts"))
-        fresh = F.struct(x["s"].alias("s"), x["e"].alias("e"), F.array(x["text"]).alias("texts"))
-        done = F.when(fits | cur.isNull(), acc["done"]).otherwise(F.array_append(acc["done"], cur))
-        return F.struct(F.when(fits, grown).otherwise(fresh).alias("cur"), done.alias("done"))
-
-    start = F.struct(F.lit(None).cast("struct<s:bigint,e:bigint,texts:array<string>>").alias("cur"), empty.alias("done"))
-    clips = F.aggregate("rows", start, step, lambda acc: F.array_append(acc["done"], acc["cur"]))
-    out = rows.select(*keys, "channel", F.explode(clips).alias("c"))
-    out = out.select(*keys, "channel", F.col("c.s").alias("s"), F.col("c.e").alias("e"), F.size("c.texts").cast("long").alias("n"), numbered(F.col("c.texts")).alias("text"))
+    c = fold_sorted(d, [*keys, "channel", "__head"], ["s", "ord"], ["s", "e", "text"], partial(_Pack, longest), "c_s long, c_e long, texts array<string>")
+    out = c.select(*keys, "channel", F.col("c_s").alias("s"), F.col("c_e").alias("e"), F.size("texts").cast("long").alias("n"), numbered(F.col("texts")).alias("text"))
     return out.filter(F.col("e") - F.col("s") >= shortest)
 
 
+class _Cut:
+    """Walk the borders of one region: rows r_s, r_e, b with rising b; pieces s, e come out.
+
+    ``at`` is the start of the open piece, ``best`` the latest border that fits it.
+    """
+
+    def __init__(self, longest: int, shortest: int) -> None:
+        self.longest, self.shortest, self.at, self.best, self.last = longest, shortest, None, None, None
+
+    def _to(self, x: int):
+        piece = (self.at, x)
+        self.at = x
+        return piece
+
+    def row(self, r_s, r_e, b):
+        if self.at is None:
+            self.at, self.last = r_s, r_e
+        out, before = [], self.at
+        if b > self.at + self.longest:  # the border lies beyond: cut at the best one, then hard as often as needed
+            out.append(self._to(self.best if self.best is not None else self.at + self.longest))
+        while b > self.at + self.longest:
+            out.append(self._to(self.at + self.longest))
+        self.best = b if b >= self.at + self.shortest else self.best if self.at == before else None
+        return out
+
+    def end(self):
+        return () if self.at is None else ((self.at, self.last),)
+
+
 def merge_then_split(spans: DataFrame, keys: list[str], longest: int, gap: int, shortest: int) -> DataFrame:
     """(keys, s, e): regions of activity cut at the latest span border that fits, else hard.
 
-    Regions come from the period operator; a region's borders, at most those of its spans, are folded.
+    Regions come from the period operator; a region's borders are streamed in order.
     """
     p = periods(spans.withColumn("gap", F.lit(gap)), keys).select(*keys, F.col("s").alias("r_s"), F.col("e").alias("r_e"))
     short = p.filter(F.col("r_e") - F.col("r_s") <= longest).select(*keys, F.col("r_s").alias("s"), F.col("r_e").alias("e"))
     long = p.filter(F.col("r_e") - F.col("r_s") > longest)
     width = max(longest, 1) * 4
     marks = spans.select(*keys, F.explode(F.array("s", "e")).alias("b")).distinct()
-    held = stab(marks, long, keys, "b", width, "[]", s="r_s", e="r_e").groupBy(*keys, "r_s", "r_e").agg(F.sort_array(F.collect_set("b")).alias("bs"))
-
-    def cut(acc: Column, x: Column) -> Column:
-        """Walk the borders; ``at`` is the start of the open piece, ``best`` the latest border that fits it."""
-        at, best, cuts = acc["at"], acc["best"], acc["cuts"]
-        # the border lies beyond the longest piece: cut at the best border, then hard as often as needed
-        first = F.when(x > at + longest, F.coalesce(best, at + longest))
-        cuts1 = F.when(first.isNotNull(), F.array_append(cuts, first)).otherwise(cuts)
-        at1 = F.coalesce(first, at)
-        more = F.greatest(F.ceil((x - at1) / F.lit(longest)).cast("long") - 1, F.lit(0).cast("long"))
-        cuts2 = F.when(more > 0, F.concat(cuts1, F.transform(F.sequence(F.lit(1).cast("long"), F.greatest(more, F.lit(1).cast("long"))), lambda k: at1 + k * longest))).otherwise(cuts1)
-        at2 = at1 + more * longest
-        keep = F.when(x >= at2 + shortest, x).when(at2 == at, best)
-        return F.struct(at2.alias("at"), keep.alias("best"), cuts2.alias("cuts"))
-
-    begin = F.struct(F.col("r_s").alias("at"), F.lit(None).cast("long").alias("best"), F.array().cast("array<bigint>").alias("cuts"))
-    cuts = F.aggregate("bs", begin, cut, lambda acc: acc["cuts"])
-    whole = F.array_sort(F.concat(F.array("r_s"), cuts, F.array("r_e")))
-    pieces = held.select(*keys, whole.alias("w")).select(*keys, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.element_at("w", i).alias("s"), F.element_at("w", i + 1).alias("e")))).alias("c"))
-    pieces = pieces.select(*keys, "c.s", "c.e")
+    held = stab(marks, long, keys, "b", width, "[]", s="r_s", e="r_e").withColumn("__from", F.col("r_s"))
+    pieces = fold_sorted(held, [*keys, "__from"], ["b"], ["r_s", "r_e", "b"], partial(_Cut, longest, shortest), "s long, e long").select(*keys, "s", "e")
     return short.unionByName(pieces).filter(F.col("e") - F.col("s") >= shortest)
 
 
-def thin(df: DataFrame, keys: list[str], t: str, tie: str, least: int, length: float) -> DataFrame:
-    """Rows at least ``least`` behind the last kept row of their source; the first row is kept.
+class _Thin:
+    """Rows t, tie in order; those at least ``least`` behind the last kept come out."""
 
-    A row that far behind its neighbour is always kept and starts a run; runs are folded alone.
-    """
-    d = lag_over(df, keys, t, tie, F.col(t), "__before", length)
-    d = _groups(d, keys, t, tie, F.col("__before").isNull() | (F.col(t) - F.col("__before") >= least), length).drop("__before")
-    rows = d.groupBy(*keys, "__head").agg(F.sort_array(F.collect_list(F.struct(t, tie))).alias("rows"))
-    kind = f"array<struct<t:{dict(df.dtypes)[t]},tie:{dict(df.dtypes)[tie]}>>"
+    def __init__(self, least: float) -> None:
+        self.least, self.kept = least, None
 
-    def step(acc: Column, x: Column) -> Column:
-        take = (F.size(acc) == 0) | (x[t] - F.element_at(acc, -1)["t"] >= least)
-        return F.when(take, F.array_append(acc, F.struct(x[t].alias("t"), x[tie].alias("tie")))).otherwise(acc)
+    def row(self, t, tie):
+        if self.kept is not None and t - self.kept < self.least:
+            return ()
+        self.kept = t
+        return ((t, tie),)
 
-    kept = rows.select(*keys, F.explode(F.aggregate("rows", F.array().cast(kind), step)).alias("__kept"))
-    kept = kept.select(*keys, F.col("__kept.t").alias(t), F.col("__kept.tie").alias(tie))
+    def end(self):
+        return ()
+
+
+def thin(df: DataFrame, keys: list[str], t: str, tie: str, least: int, length: float, accepted: Column | None = None) -> DataFrame:
+    """Rows at least ``least`` behind the last kept row of their source; the first row is kept.
+
+    Rows that are not ``accepted`` (say, whose projection failed) are neither kept nor counted. A row
+    that far behind its neighbour is always kept and starts a run; runs are folded alone.
+    """
+    if accepted is not None:
+        df = df.filter(accepted)
+    kinds = dict(df.dtypes)
+    d = lag_over(df.select(*keys, t, tie), keys, t, tie, F.col(t), "__before", length)
+    d = _groups(d, keys, t, tie, F.col("__before").isNull() | (F.col(t) - F.col("__before") >= least), length)
+    kept = fold_sorted(d, [*keys, "__head"], [t, tie], [t, tie], partial(_Thin, least), f"__t {kinds[t]}, __tie {kinds[tie]}")
+    kept = kept.select(*keys, F.col("__t").alias(t), F.col("__tie").alias(tie))
     return df.join(kept, [*keys, t, tie], "left_semi")
