@@ -31,15 +31,37 @@ def test_evolution_beats_its_start():
     rnd = random.Random(2)
     worse = better = 0
     for seed in range(12):
-        sizes = [rnd.choice([rnd.randint(200, 500), rnd.randint(20, 120)]) for _ in range(200)]
+        if seed % 2:
+            sizes = [rnd.choice([rnd.randint(200, 500), rnd.randint(20, 120)]) for _ in range(200)]
+        else:  # three items fill a container to the last token
+            sizes = []
+            for _ in range(40):
+                x = rnd.randint(380, 490)
+                y = rnd.randint(250, (1000 - x) // 2)
+                sizes += [x, y, 1000 - x - y]
         start, room = [], []
-        packing.best_fit(sorted(range(200), key=lambda i: -sizes[i]), sizes, 1000, start, room)
-        best = packing.evolve(sizes, 1000, seed, generations=20)
-        assert sorted(i for x in best for i in x) == list(range(200))
+        packing.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 1000, start, room)
+        best = packing.evolve(sizes, 1000, seed, generations=40)[0]
+        assert sorted(i for x in best for i in x) == list(range(len(sizes)))
         worse += len(best) > len(start)
         better += len(best) < len(start)
-    assert worse == 0
-    assert len(packing.evolve([], 10, 0, [[]])) == 0
+    assert worse == 0 and better >= 4
+    assert packing.evolve([], 10, 0, [[]]) == [[]]
+
+
+def test_elites_migrate_round_the_islands(spark):
+    rnd = random.Random(4)
+    items = spark.createDataFrame([(1, 1000, i, 0, rnd.randint(120, 480)) for i in range(300)], "spec_id long, capacity long, item_id long, piece_no long, n long")
+    got = packing._round(items, 1).collect()
+    assert sorted(r.item_id for r in got) == list(range(300))
+    used = defaultdict(int)
+    for r in got:
+        used[r.cell, r.bin] += r.n
+    assert max(used.values()) <= 1000
+    start, room = [], []
+    sizes = [r.n for r in items.orderBy("item_id").collect()]
+    packing.best_fit(sorted(range(300), key=lambda i: -sizes[i]), sizes, 1000, start, room)
+    assert len(used) <= len(start)
 
 
 def test_pack_whole_table(spark):

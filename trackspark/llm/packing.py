@@ -3,9 +3,10 @@
 Method: a grouping genetic algorithm. An individual is a set of bins; crossover injects whole
 well-filled bins of one parent into the other, drops the other's bins that hold a duplicate, and
 best-fits the displaced items. Items are hashed into cells of about ``CELL``; every cell is worked
-on by ``ISLANDS`` populations in separate tasks, whose elites then migrate into a last population
-of the cell. Bins that stay badly filled hand their items to a second round over all cells, so that
-a cell's last, half-empty bins are packed with those of the others.
+on by ``ISLANDS`` populations in separate tasks. After each of ``EPOCHS`` their elites migrate round
+the ring of islands, and at the end into a last population of the cell. Bins that stay badly filled
+hand their items to the next of ``ROUNDS`` over all cells, so that a cell's last, half-empty bins are
+packed with those of the others.
 
 Items longer than the capacity are cut into full containers and a remainder; nothing else is cut.
 
@@ -27,11 +28,17 @@ from trackspark.session import durable
 
 #: Items of a cell; bounds what one task holds.
 CELL = 2048
-ISLANDS = 2
+ISLANDS = 3
 POPULATION = 4
-GENERATIONS = 12
-#: A bin filled less than this goes to the second round.
+#: Times an island evolves before a last population of all elites does, and generations each time.
+EPOCHS = 3
+GENERATIONS = 3
+#: Packings of an island that live on and migrate.
+ELITES = 2
+#: A bin filled less than this hands its items to the next round.
 WELL = 0.995
+#: Rounds over all cells, each with other cells.
+ROUNDS = 2
 
 Bins = list[list[int]]
 
@@ -133,8 +140,8 @@ def crossover(a: Bins, a_room: list[int], b: Bins, b_room: list[int], sizes: lis
     return bins, room
 
 
-def evolve(sizes: list[int], cap: int, seed: int, elites: list[Bins] | None = None, population: int = POPULATION, generations: int = GENERATIONS) -> Bins:
-    """The best packing of one population. ``elites`` come from other islands."""
+def evolve(sizes: list[int], cap: int, seed: int, elites: list[Bins] | None = None, population: int = POPULATION, generations: int = 12) -> list[Bins]:
+    """The packings of one population, the best first. ``elites`` come from other islands."""
     rnd = random.Random(seed)
     least = lower_bound(sizes, cap)
     by_size = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
@@ -154,6 +161,7 @@ def evolve(sizes: list[int], cap: int, seed: int, elites: list[Bins] | None = No
         best_fit(order, sizes, cap, bins, room)
         join(bins, room)
     pool.sort(key=lambda x: x[0])
+    del pool[max(population, 1) :]
     for _ in range(generations):
         if pool[0][0][0] <= least or len(pool) < 2:
             break
@@ -162,43 +170,71 @@ def evolve(sizes: list[int], cap: int, seed: int, elites: list[Bins] | None = No
             join(*crossover(pool[x][1], pool[x][2], pool[y][1], pool[y][2], sizes, cap, rnd))
         pool.sort(key=lambda x: x[0])
         del pool[population:]
-    return pool[0][1]
+    return [bins for _, bins, _ in pool]
 
 
-_SOLUTION = "spec_id long, capacity long, cell long, island int, ids array<long>, pieces array<long>, sizes array<long>, bins array<int>"
+_SOLUTION = "spec_id long, capacity long, cell long, island int, ids array<long>, pieces array<long>, sizes array<long>, elites array<array<int>>"
 
 
-def _island(pdf):
-    """One island's elite of a cell: its items with their bins."""
-    import pandas as pd
+def _bins(of: list[int]) -> Bins:
+    """Bins from the bin of each item."""
+    bins: Bins = [[] for _ in range(max(of) + 1)]
+    for i, k in enumerate(of):
+        bins[k].append(i)
+    return bins
 
-    pdf = pdf.sort_values(["item_id", "piece_no"])
-    first = pdf.iloc[0]
-    sizes = [int(n) for n in pdf["n"]]
-    bins = evolve(sizes, int(first["capacity"]), int(first["cell"]) * 2 * ISLANDS + int(first["island"]))
-    of = [0] * len(sizes)
+
+def _of(bins: Bins, n: int) -> list[int]:
+    of = [0] * n
     for k, b in enumerate(bins):
         for i in b:
             of[i] = k
-    return pd.DataFrame([[int(first["spec_id"]), int(first["capacity"]), int(first["cell"]), int(first["island"]), pdf["item_id"].tolist(), pdf["piece_no"].tolist(), sizes, of]], columns=["spec_id", "capacity", "cell", "island", "ids", "pieces", "sizes", "bins"])
+    return of
+
+
+def _seed(first, step: int) -> int:
+    """Differs by cell, epoch and island; island 0 of epoch 0 begins with items by size."""
+    return (int(first["cell"]) * (EPOCHS + 1) + step) * 2 * ISLANDS + int(first["island"])
+
+
+def _solution(first, ids, pieces, sizes, pool: list[Bins]):
+    import pandas as pd
+
+    row = [int(first["spec_id"]), int(first["capacity"]), int(first["cell"]), int(first["island"]), ids, pieces, sizes, [_of(b, len(sizes)) for b in pool]]
+    return pd.DataFrame([row], columns=["spec_id", "capacity", "cell", "island", "ids", "pieces", "sizes", "elites"])
+
+
+def _found_island(pdf):
+    """The first epoch of one island of a cell: its elites, from the cell's items."""
+    pdf = pdf.sort_values(["item_id", "piece_no"])
+    first, sizes = pdf.iloc[0], [int(n) for n in pdf["n"]]
+    pool = evolve(sizes, int(first["capacity"]), _seed(first, 0), generations=GENERATIONS)
+    return _solution(first, pdf["item_id"].tolist(), pdf["piece_no"].tolist(), sizes, pool[:ELITES])
+
+
+def _next_island(step: int):
+    def run(pdf):
+        """A later epoch: the island's own elites meet the immigrants of its neighbour."""
+        pdf = pdf.sort_values("origin")
+        first, sizes = pdf.iloc[0], [int(n) for n in pdf.iloc[0]["sizes"]]
+        elites = [_bins([int(k) for k in of]) for pool in pdf["elites"] for of in pool]
+        pool = evolve(sizes, int(first["capacity"]), _seed(first, step), elites, generations=GENERATIONS)
+        return _solution(first, list(first["ids"]), list(first["pieces"]), sizes, pool[:ELITES])
+
+    return run
 
 
 _PACKED = "spec_id long, capacity long, cell long, bin int, item_id long, piece_no long, n long"
 
 
 def _settle(pdf):
-    """The last population of a cell, seeded with the elites of its islands."""
+    """The last population of a cell, of all islands' elites."""
     import pandas as pd
 
     pdf = pdf.sort_values("island")
-    first = pdf.iloc[0]
-    sizes, elites = [int(n) for n in first["sizes"]], []
-    for of in pdf["bins"]:
-        bins: Bins = [[] for _ in range(max(of) + 1)]
-        for i, k in enumerate(of):
-            bins[k].append(i)
-        elites.append(bins)
-    best = evolve(sizes, int(first["capacity"]), int(first["cell"]) * 2 * ISLANDS + ISLANDS, elites)
+    first, sizes = pdf.iloc[0], [int(n) for n in pdf.iloc[0]["sizes"]]
+    elites = [_bins([int(k) for k in of]) for pool in pdf["elites"] for of in pool]
+    best = evolve(sizes, int(first["capacity"]), _seed(first, EPOCHS), elites, generations=GENERATIONS)[0]
     rows = [(int(first["spec_id"]), int(first["capacity"]), int(first["cell"]), k, int(first["ids"][i]), int(first["pieces"][i]), sizes[i]) for k, b in enumerate(best) for i in b]
     return pd.DataFrame(rows, columns=["spec_id", "capacity", "cell", "bin", "item_id", "piece_no", "n"])
 
@@ -209,7 +245,12 @@ def _round(items: DataFrame, seed: int) -> DataFrame:
     celled = items.join(F.broadcast(sizes), "spec_id")  # a row per container specification
     celled = celled.withColumn("cell", F.pmod(F.xxhash64(F.lit(seed), "item_id", "piece_no"), F.col("cells"))).drop("cells")
     islands = celled.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
-    elites = islands.groupBy("spec_id", "cell", "island").applyInPandas(_island, _SOLUTION)
+    elites = islands.groupBy("spec_id", "cell", "island").applyInPandas(_found_island, _SOLUTION)
+    for step in range(1, EPOCHS):
+        # elites stay and migrate to the next island of the ring
+        there = F.array(F.struct(F.lit(0).alias("origin"), F.col("island").alias("to")), F.struct(F.lit(1).alias("origin"), ((F.col("island") + 1) % ISLANDS).alias("to")))
+        moved = elites.withColumn("m", F.explode(there)).withColumn("island", F.col("m.to")).withColumn("origin", F.col("m.origin")).drop("m")
+        elites = moved.groupBy("spec_id", "cell", "island").applyInPandas(_next_island(step), _SOLUTION)
     return elites.groupBy("spec_id", "cell").applyInPandas(_settle, _PACKED)
 
 
@@ -227,12 +268,18 @@ def pack(items: DataFrame, specs: DataFrame) -> DataFrame:
     cut = sized.filter("n >= capacity").select("spec_id", "capacity", "item_id", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("piece_no"))
     full = cut.select("spec_id", F.concat_ws("-", F.lit("full"), "item_id", "piece_no").alias("container_id"), "item_id", "piece_no", F.col("capacity").alias("n_tokens"))
     rest = sized.select("spec_id", "capacity", "item_id", whole.alias("piece_no"), (F.col("n") - whole * F.col("capacity")).alias("n")).filter("n > 0")
-    first = durable(_round(rest, 1))
-    fill = first.groupBy("spec_id", "cell", "bin").agg(F.sum("n").alias("used"))
-    first = first.join(fill, ["spec_id", "cell", "bin"])
-    well = F.col("used") >= F.col("capacity") * F.lit(WELL)
-    again = _round(first.filter(~well).select("spec_id", "capacity", "item_id", "piece_no", "n"), 2)
-    done = [full]
-    for name, df in (("a", first.filter(well)), ("b", again)):
-        done.append(df.select("spec_id", F.concat_ws("-", F.lit(name), "cell", "bin").alias("container_id"), "item_id", "piece_no", F.col("n").alias("n_tokens")))
-    return done[0].unionByName(done[1]).unionByName(done[2])
+    done, left = [full], rest
+    for k in range(1, ROUNDS + 1):
+        packed = durable(_round(left, k))
+        named = packed.select("spec_id", F.concat_ws("-", F.lit(f"r{k}"), "cell", "bin").alias("container_id"), "item_id", "piece_no", F.col("n").alias("n_tokens"), "capacity", "cell", "bin", "n")
+        if k < ROUNDS:
+            fill = packed.groupBy("spec_id", "cell", "bin").agg(F.sum("n").alias("used"))
+            named = named.join(fill, ["spec_id", "cell", "bin"])
+            well = F.col("used") >= F.col("capacity") * F.lit(WELL)
+            left = named.filter(~well).select("spec_id", "capacity", "item_id", "piece_no", "n")
+            named = named.filter(well)
+        done.append(named.select("spec_id", "container_id", "item_id", "piece_no", "n_tokens"))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
