@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackspark.operators.scan import join_null_safe, prefix_scan
+from trackspark.session import durable
 
 #: Length of a shard in ms.
 SHARD_MS = 600_000
@@ -39,7 +40,7 @@ def periods(intervals: DataFrame, entity: list[str], start: str = "s", end: str
     iv = intervals.select(*entity, F.col(start).alias("s"), F.col(end).alias("e"), F.coalesce(F.col(gap), F.lit(0)).alias("gap"))
     iv = iv.filter("e > s").withColumn("shard", F.floor(F.col("s") / F.lit(shard_len)).cast("long"))
     reach = iv.groupBy(*entity, "shard").agg(F.max("e").alias("reach"), F.first("gap").alias("gap"))
-    reach = prefix_scan(reach, entity, "shard", "reach", "carry", how="max")
+    reach = durable(prefix_scan(reach, entity, "shard", "reach", "carry", how="max"))  # a row per shard
     handed = reach.filter("carry IS NOT NULL").select(*entity, F.lit(None).cast("long").alias("s"), F.col("carry").alias("e"), "gap", "shard")
     # equal starts are reduced behind the shuffle: a shard holds at most shard_len rows, however hot
     rows = iv.unionByName(handed).repartition(*entity, "shard").groupBy(*entity, "shard", "gap", "s").agg(F.max("e").alias("e"))
@@ -47,7 +48,8 @@ def periods(intervals: DataFrame, entity: list[str], start: str = "s", end: str
     rows = rows.withColumn("far", F.max("e").over(w)).filter("s IS NOT NULL AND (far IS NULL OR s > far + gap)")
     # rows now begin periods; a period ends where the next one says its predecessor ended
     w2 = Window.partitionBy(*entity, "shard").orderBy("s")
-    begun = rows.select(*entity, "shard", "s", F.col("far").alias("gap_from")).withColumn("e", F.lead("gap_from").over(w2))
+    # one row a period: three steps read it
+    begun = durable(rows.select(*entity, "shard", "s", F.col("far").alias("gap_from")).withColumn("e", F.lead("gap_from").over(w2)))
     total = reach.groupBy(*entity).agg(F.max("reach").alias("total"))
     firsts = begun.groupBy(*entity, "shard").agg(F.min("gap_from").alias("first_far"))
     nxt = prefix_scan(firsts, entity, "shard", "first_far", "next_far", reverse=True).drop("first_far")
