@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trackspark import config
 from trackspark.plans import classify, clips, extract, rectify, splits, validate, viewer
 from trackspark.recipe import Recipe
-from trackspark.sources import catalog
+from trackspark.sources import catalog, sinks
 from trackspark.streaming.operators import watch as watch_folder
 
 
@@ -114,6 +114,35 @@ def make_splits(manifest: DataFrame, ratios: list[tuple[str, float]], seed: int,
     return s
 
 
+def write_clips(rows: DataFrame, root: str, keys: list[str]) -> DataFrame:
+    """Clip rows as shards by episode; the manifest of all shards, those of earlier runs too, is written beside them."""
+    sinks.write_shards(rows, root, keys)
+    whole = sinks.read_shards(rows.sparkSession, root, rows.schema)
+    sinks.write_manifest(whole, root, {"clips": whole.count()})
+    return whole
+
+
+def join_manifests(spark: SparkSession, sources: list[tuple[str, list[str] | None]], out: str, videos: str = "collected") -> DataFrame:
+    """Manifests of several runs as one, written as JSON lines; returns what each gave and lost.
+
+    ``videos``: "collected" (videos/dataset/name beside the manifest), "absolute" or "as_written".
+    """
+    parts = []
+    for path, keep in sources:
+        df = spark.read.option("mode", "DROPMALFORMED").json(path)
+        for c in ("id", "dataset", "video", "error"):
+            df = df if c in df.columns else df.withColumn(c, F.lit(None).cast("string"))
+        df = df.withColumn("ord", F.monotonically_increasing_id())
+        if videos == "absolute":
+            df = df.withColumn("video", splits.absolute_video(F.col("video"), path.rsplit("/", 1)[0]))
+        parts.append((df, keep))
+    whole = splits.join_manifests(parts)
+    if videos == "collected":
+        whole = whole.withColumn("video", splits.collected_video(F.col("video"), F.col("dataset")))
+    whole.drop("ord", "source_ord", "error").write.mode("overwrite").json(out)
+    return splits.join_counts(parts)
+
+
 def split_index(s: DataFrame) -> DataFrame:
     """Clips per split and dataset, with totals (null dataset, null split)."""
     return s.rollup("split", "dataset").agg(F.count(F.lit(1)).alias("clips"))

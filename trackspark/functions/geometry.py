@@ -50,17 +50,18 @@ def in_frame(x: Column, y: Column, w: Column, h: Column) -> Column:
     return F.coalesce((x >= 0) & (x < w) & (y >= 0) & (y < h), F.lit(False))
 
 
-def pinhole(m: Column, ray: list[Column], fx: float, fy: float, cx: float, cy: float, depth: float = 1.0) -> tuple[Column, Column]:
+def pinhole(m: Column, ray: list[Column], fx: float | Column, fy: float | Column, cx: float | Column, cy: float | Column, depth: float = 1.0) -> tuple[Column, Column]:
     """Pixel of a world ray (origin, direction) seen by a camera with a row-major 4×4 pose.
 
     The point ``depth`` along the ray is moved into the camera's frame by the transposed rotation;
     the camera looks along +X with Y to the left and Z up. Points behind it give null.
     """
     at = lambda i: F.element_at(m, i + 1)
+    fx, fy, cx, cy = (v if isinstance(v, Column) else F.lit(v) for v in (fx, fy, cx, cy))
     p = [ray[k] + ray[3 + k] * F.lit(depth) - at(4 * k + 3) for k in range(3)]
     cam = [at(0 + j) * p[0] + at(4 + j) * p[1] + at(8 + j) * p[2] for j in range(3)]
     ahead = cam[0] > 1e-9
-    return F.when(ahead, F.lit(cx) - F.lit(fx) * cam[1] / cam[0]), F.when(ahead, F.lit(cy) - F.lit(fy) * cam[2] / cam[0])
+    return F.when(ahead, cx - fx * cam[1] / cam[0]), F.when(ahead, cy - fy * cam[2] / cam[0])
 
 
 def upright_to_native(x: Column, y: Column, side: int) -> tuple[Column, Column]:

@@ -56,6 +56,16 @@ def lerp(v: str, t: str, max_gap: float | None = None) -> Column:
     return F.when(p == F.col(t), F.col(f"prev.{v}")).when(inside, F.col(f"prev.{v}") + (F.col(f"next.{v}") - F.col(f"prev.{v}")) * share)
 
 
+def either(v: str, t: str, max_gap: float | None = None) -> Column:
+    """Whether a flag holds at ``t``: that of an exact hit, else of any of the two neighbours; false without both."""
+    p, n = F.col("prev.t"), F.col("next.t")
+    inside = p.isNotNull() & n.isNotNull()
+    if max_gap is not None:
+        inside = inside & ((n - p) <= F.lit(max_gap))
+    flag = lambda side: F.coalesce(F.col(f"{side}.{v}"), F.lit(False))
+    return F.when(p == F.col(t), flag("prev")).when(inside, flag("prev") | flag("next")).otherwise(F.lit(False))
+
+
 def grid(sources: DataFrame, keys: list[str], hz_num: int, hz_den: int, duration: str, chunk: int = 4096) -> DataFrame:
     """(keys, frame_index, i): frames 0..floor(duration * num / den) of each source.
 

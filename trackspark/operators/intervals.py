@@ -39,3 +39,17 @@ def overlapping(a: DataFrame, b: DataFrame, keys: list[str], ident: str, width:
     """Rows of ``a`` that strictly overlap any of ``b``; ``ident`` identifies a row of ``a`` within the keys."""
     hit = overlaps(a.select(*keys, ident, names.get("a_s", "a_s"), names.get("a_e", "a_e")), b, keys, width, **names).select(*keys, ident).distinct()
     return a.join(hit, [*keys, ident], "left_semi")
+
+
+def in_regions(spans: DataFrame, regions: DataFrame, keys: list[str], ident: str, width: float) -> DataFrame:
+    """Spans (keys, channel, s, e, ident) that strictly overlap an interesting region of their own channel.
+
+    ``regions`` is (keys, channel, r_s, r_e, interesting). Where no region of a source names a channel,
+    regions of the source count for all its channels. Sources without interesting regions keep nothing.
+    """
+    r = regions.filter("interesting AND r_s IS NOT NULL AND r_e IS NOT NULL").select(*keys, F.col("channel").alias("r_channel"), F.col("r_s").alias("b_s"), F.col("r_e").alias("b_e"))
+    named = r.groupBy(*keys).agg(F.max(F.col("r_channel").isNotNull()).alias("named"))
+    r = r.join(named, keys)
+    a = spans.select(*keys, ident, "channel", F.col("s").alias("a_s"), F.col("e").alias("a_e"))
+    both = overlaps(a, r, keys, width).filter(~F.col("named") | (F.col("channel") == F.col("r_channel")))
+    return spans.join(both.select(*keys, ident).distinct(), [*keys, ident], "left_semi")

@@ -15,6 +15,12 @@ def prompts(spans: DataFrame, keys: list[str], rubric: str, size: int = 60) -> D
     return g.select(*keys, "chunk", F.concat(F.lit(rubric + "\n"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("prompt"))
 
 
+def prompts_again(spans: DataFrame, found: DataFrame, keys: list[str], rubric: str, size: int = 60) -> DataFrame:
+    """Prompts for spans whose chunk's answer was cut off before them: of half the size, numbered as before."""
+    left = spans.join(found.select(*keys, "i").distinct(), [*keys, "i"], "left_anti")
+    return prompts(left, keys, rubric, max(size // 2, 1))
+
+
 def salvage(text: str | None) -> list[dict]:
     """The objects of the first JSON array in a text; of a cut-off array those that are complete."""
     if not text:

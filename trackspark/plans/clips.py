@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trackspark.functions import geometry as G
 from trackspark.functions import text as T
 from trackspark.operators import asof, intervals, sequence
-from trackspark.operators.sharded import number_over
+from trackspark.operators.sharded import lag_over, number_over
 from trackspark.session import durable
 
 US = 1_000_000
@@ -53,6 +53,16 @@ def resampled(track: DataFrame, ends: DataFrame, keys: list[str], spec: ClipSpec
     return f.select(*keys, "frame_index", asof.lerp("x", "us", spec.max_gap_us).alias("x"), asof.lerp("y", "us", spec.max_gap_us).alias("y"))
 
 
+def kept(spans: DataFrame, track: DataFrame, keys: list[str], spec: ClipSpec, widest_us: int | None = None, regions: DataFrame | None = None) -> DataFrame:
+    """Spans to build clips from: without sources whose readings leave a gap over ``widest_us``, and, where
+    ``regions`` are given, only those that overlap an interesting one (keys, channel, r_s, r_e, interesting)."""
+    if widest_us is not None:
+        d = lag_over(track, keys, "us", "ord", F.col("us"), "__before", spec.shard_us)
+        wide = d.filter(F.col("us") - F.col("__before") > widest_us).select(*keys).distinct()
+        spans = spans.join(wide, keys, "left_anti")
+    return spans if regions is None else intervals.in_regions(spans, regions, keys, "ord", spec.shard_us)
+
+
 def attach(c: DataFrame, spans: DataFrame, keys: list[str], spec: ClipSpec, min_overlap: float = 0.5) -> DataFrame:
     """(keys, clip, aux array): spans of which enough lies in the clip, or that fill it; the clip's own text is left out."""
     a = c.select(*keys, "clip", F.col("channel").alias("a_channel"), F.col("text").alias("a_text"), F.col("s").alias("a_s"), F.col("e").alias("a_e"))

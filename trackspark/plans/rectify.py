@@ -92,6 +92,13 @@ def label_instants(grid: DataFrame, spans: DataFrame, width: float = 60.0) -> Da
     return grid.join(lab, [*KEYS, "frame_index"], "left").select(*grid.columns, F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("texts", F.lit("")).alias("texts"))
 
 
+def label_nearest(grid: DataFrame, points: DataFrame, shard_s: float = 600.0) -> DataFrame:
+    """Grid rows with label and text of the nearest point annotation (keys, ord, time_s, label, text)."""
+    f = asof.bracket(grid, points, KEYS, "time_s", ["label", "text"], shard_s)
+    n = asof.nearest(f, "time_s")
+    return f.select(*grid.columns, n["label"].alias("labels"), n["text"].alias("texts"))
+
+
 def rectify(track: DataFrame, spans: DataFrame | None, depth: DataFrame | None, hz: float, max_gap_s: float | None = None) -> dict[str, DataFrame]:
     """The canonical tables: timeline, gaze, and where given intervals, annotations and depth."""
     t = normalise_track(track)

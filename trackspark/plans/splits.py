@@ -40,7 +40,8 @@ def join_manifests(sources: list[tuple[DataFrame, list[str] | None]], ident: str
     parts = []
     for k, (df, keep) in enumerate(sources):
         p = df.filter(F.col("error").isNull() & (F.coalesce(F.col(ident), F.lit("")) != ""))
-        p = p.filter(F.col("dataset").isin(keep)) if keep else p
+        named = F.coalesce(F.nullif(F.col("dataset"), F.lit("")), dataset_of(F.col(ident)))
+        p = p.filter(named.isin(keep)) if keep else p
         parts.append(p.withColumn("source_ord", F.lit(k)))
     u = parts[0]
     for p in parts[1:]:
@@ -49,6 +50,34 @@ def join_manifests(sources: list[tuple[DataFrame, list[str] | None]], ident: str
     return u.groupBy(ident).agg(F.min_by(F.struct(*rest), F.struct("source_ord", "ord")).alias("r")).select(ident, "r.*")
 
 
+def join_counts(sources: list[tuple[DataFrame, list[str] | None]], ident: str = "id") -> DataFrame:
+    """(source_ord, rows, errors, without_id, other_dataset, repeated, kept) of a join of manifests."""
+    parts = []
+    for k, (df, keep) in enumerate(sources):
+        bad, lost = F.col("error").isNotNull(), F.coalesce(F.col(ident), F.lit("")) == ""
+        named = F.coalesce(F.nullif(F.col("dataset"), F.lit("")), dataset_of(F.col(ident)))
+        out = ~F.coalesce(named.isin(keep), F.lit(False)) if keep else F.lit(False)
+        why = F.when(bad, "errors").when(lost, "without_id").when(out, "other_dataset")
+        parts.append(df.select(F.lit(k).alias("source_ord"), F.col(ident).alias("id"), why.alias("why")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    first = u.filter("why IS NULL").groupBy("id").agg(F.min("source_ord").alias("source_ord")).groupBy("source_ord").agg(F.count(F.lit(1)).alias("kept"))
+    n = u.groupBy("source_ord").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("why") == w).alias(w) for w in ("errors", "without_id", "other_dataset")])
+    j = n.join(first, "source_ord", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
+    return j.select("source_ord", "rows", "errors", "without_id", "other_dataset", (F.col("rows") - F.col("errors") - F.col("without_id") - F.col("other_dataset") - F.col("kept")).alias("repeated"), "kept")
+
+
+def collected_video(video: Column, dataset: Column) -> Column:
+    """The place of a clip's film beside a joined manifest: videos/dataset/name."""
+    return F.concat_ws("/", F.lit("videos"), dataset, F.regexp_extract(video, r"[^/]*$", 0))
+
+
+def absolute_video(video: Column, root: str) -> Column:
+    """A relative film path below its manifest's folder; absolute ones and URLs stay."""
+    return F.when(video.rlike(r"^(/|[a-z][a-z0-9+.-]*:)"), video).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), video))
+
+
 def quotas(counts: DataFrame, ratios: list[tuple[str, float]]) -> DataFrame:
     """Add ``steps``: for each split, in order, the position where it ends (largest remainder).
 

@@ -112,8 +112,31 @@ def profile(files: DataFrame) -> DataFrame:
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha1, sha256) of files."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha1("content").alias("sha1"), F.sha2("content", 256).alias("sha256"))
+    """(path, sha1, sha256) of files of any size, read in pieces."""
+
+    def sums(it):
+        import hashlib
+
+        import pandas as pd
+
+        for pdf in it:
+            rows = []
+            for p in pdf["path"]:
+                a, b = hashlib.sha1(), hashlib.sha256()
+                with open_at(p) as f:
+                    while piece := f.read(1 << 22):
+                        a.update(piece)
+                        b.update(piece)
+                rows.append((p, a.hexdigest(), b.hexdigest()))
+            yield pd.DataFrame(rows, columns=["path", "sha1", "sha256"])
+
+    return _paths(spark, path).mapInPandas(sums, "path string, sha1 string, sha256 string")
+
+
+def calibration_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line) of JSON lines as VARIANT; lines that are no JSON are left out."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("line"))
+    return raw.filter("line IS NOT NULL")
 
 
 def open_at(path: str):
@@ -131,7 +154,7 @@ def open_at(path: str):
 
 def _paths(spark: SparkSession, path: str) -> DataFrame:
     """Paths of files; the contents are not read."""
-    return spark.read.format("binaryFile").load(path).select("path")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "**" in path).load(path.removesuffix("/**")).select("path")
 
 
 def video_headers(spark: SparkSession, path: str) -> DataFrame:

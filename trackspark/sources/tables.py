@@ -25,10 +25,22 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     if path.endswith((".jsonl", ".json")):
         return r.option("mode", "DROPMALFORMED").json(path)
     if path.endswith(".csv"):
-        return r.option("header", True).csv(path)
+        return r.option("header", True).csv(path) if schema is not None else coerced(r.option("header", True).csv(path))
     return r.parquet(path)
 
 
+def coerced(df: DataFrame) -> DataFrame:
+    """Text columns as the narrowest type that all their cells have: boolean, integer, number or text."""
+    seen = []
+    for c in df.columns:
+        v = coerce(F.col(f"`{c}`"))
+        n = [F.count(v[k]) for k in ("b", "i", "d", "s")]
+        seen.append(F.when((n[0] > 0) & (n[1] + n[2] + n[3] == 0), "b").when((n[1] > 0) & (n[0] + n[2] + n[3] == 0), "i").when((n[1] + n[2] > 0) & (n[0] + n[3] == 0), "d").otherwise("s"))
+    kinds = df.agg(F.array(*seen)).first()[0] if df.columns else []
+    typed = {"b": lambda v, c: v["b"], "i": lambda v, c: v["i"], "d": lambda v, c: F.coalesce(v["d"], v["i"].cast("double")), "s": lambda v, c: F.when(F.trim(c) != "", c)}
+    return df.select(*[typed[k](coerce(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) for c, k in zip(df.columns, kinds)])
+
+
 def write_table(df: DataFrame, path: str, partition: list[str] | None = None) -> None:
     """Write by suffix; nested columns of a CSV become JSON."""
     w = df

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.sources.catalog import asset_status, listing
+from trackspark.sources.catalog import asset_status, digests, listing
 
 
 def first_by_id(stream: DataFrame, ident: str, event_time: str | None = None, lateness: str = "1 hour") -> DataFrame:
@@ -95,9 +95,14 @@ def watch(spark: SparkSession, root: str, expected: DataFrame, stable: int = 3,
     nothing partial lies there, ``stable`` times in a row with the same files; False after the timeout."""
     began, calm, before = time.time(), 0, None
     while True:
-        seen = listing(spark, root).select(F.col("rel").alias("path"), "bytes", F.lit(None).cast("string").alias("sha1"), F.col("rel").rlike(partial).alias("partial"))
+        files = listing(spark, root)
+        seen = files.select(F.col("rel").alias("path"), "bytes", F.lit(None).cast("string").alias("sha1"), F.col("rel").rlike(partial).alias("partial"))
         n = seen.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"), F.count_if("partial").alias("p")).first()
         missing = asset_status(expected, seen).filter("NOT complete").count()
+        if not missing and not n["p"] and calm + 1 >= stable:  # contents are read once, when all else is well
+            sums = digests(spark, f"{root}/**").join(files.select("path", "rel"), "path").select(F.col("rel").alias("path"), "sha1")
+            whole = seen.drop("sha1").join(sums, "path", "left")
+            missing = asset_status(expected, whole).filter("NOT complete").count()
         calm = calm + 1 if not missing and not n["p"] and (before is None or before == n) else int(not missing and not n["p"])
         before = n
         if calm >= stable:
