@@ -33,7 +33,7 @@ from trackspark.session import durable
 #: Hubs of one entity.
 SPREAD = 1024
 #: A key is hot with more than this fraction's inverse of all rows.
-HOT = 1000
+HOT = 256
 #: Ranges of the hashed order of each class, for its running number.
 BUCKETS = 4096
 
